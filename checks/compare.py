@@ -5,6 +5,7 @@ from __future__ import annotations
 import decimal
 import glob
 import os
+import time
 
 from pyspark.sql import DataFrame, types as T
 
@@ -19,6 +20,9 @@ _TYPES = {
 }
 
 
+TIMES: dict[str, float] = {}
+
+
 def connect(sf_dir: str):
     import duckdb
 
@@ -46,11 +50,14 @@ def _rows(columns: list[str], rows) -> list[tuple[str, ...]]:
 
 def differences(df: DataFrame, con, sql: str) -> list[str]:
     """What differs between a DataFrame and a query: names, types, number of rows, values."""
+    start = time.time()
     cursor = con.execute(sql)
     names = [d[0] for d in cursor.description]
     types = {d[0]: str(d[1]) for d in cursor.description}
     expected = _rows(names, cursor.fetchall())
+    middle = time.time()
     found = _rows(df.columns, [tuple(r) for r in df.collect()])
+    TIMES.update(sql=middle - start, spark=time.time() - middle)
     notes = []
     if sorted(names) != sorted(df.columns):
         return [f"columns {sorted(df.columns)} instead of {sorted(names)}"]
@@ -61,7 +68,7 @@ def differences(df: DataFrame, con, sql: str) -> list[str]:
     if len(found) != len(expected):
         notes.append(f"{len(found)} rows instead of {len(expected)}")
     if found != expected:
-        extra = [r for r in found if r not in set(expected)][:3]
-        missing = [r for r in expected if r not in set(found)][:3]
+        extra = sorted(set(found) - set(expected))[:3]
+        missing = sorted(set(expected) - set(found))[:3]
         notes.append(f"columns {sorted(names)}; only in Spark {extra}; only in SQL {missing}")
     return notes

@@ -10,17 +10,35 @@ from checks.adaptor import season_inputs
 from checks.domain_oracle import oracle
 from clinchline.plans.formats import FORMATS
 from clinchline.plans.season import SeasonRun
+from clinchline.plans.stages import Stages
 
-_previous: list[SeasonRun] = []
+_runs: dict[tuple[str, str, str], SeasonRun] = {}
 
 
 def open_run(spark: SparkSession, sf_dir: str, mode: str) -> SeasonRun:
-    """A run over the test tables; the stages of the run before it are given back."""
-    while _previous:
-        _previous.pop().release()
-    run = SeasonRun(spark, season_inputs(spark, sf_dir, mode), FORMATS[mode])
-    _previous.append(run)
-    return run
+    """The run of a format over the test tables; its queries share its staged results.
+
+    Runs of other sessions or scales are given back first.
+    """
+    scope = (spark.sparkContext.applicationId, sf_dir)
+    if any(key[:2] != scope for key in _runs):
+        forget()
+    key = (*scope, mode)
+    if key not in _runs:
+        stages = Stages(spark)
+        inputs = season_inputs(spark, sf_dir, mode, stages)
+        _runs[key] = SeasonRun(spark, inputs, FORMATS[mode], stages)
+    return _runs[key]
+
+
+def forget() -> None:
+    """Release all runs, so that the next query starts from the test tables."""
+    while _runs:
+        _, run = _runs.popitem()
+        try:
+            run.release()
+        except Exception:  # the session of the run has ended, and its stages with it
+            continue
 
 
 SEASON = ["district", "district_regions"]

@@ -138,9 +138,7 @@ def championship_totals(
     )
     score = total_if(none_of("event_state", QUALS_OPEN), F.col("points")).alias("dcmp_points")
     running = [total_if(F.col("event_state") != "Completed").alias("events_remaining")]
-    keys = fmt.home_team
     if fmt.divisions:
-        keys = [*keys, "event_key"]
         entered = entered.join(
             finals.select(
                 *fmt.home, F.col("event_state").alias("finals_state"), "num_dcmp_divisions"
@@ -157,7 +155,7 @@ def championship_totals(
             total_if(semis_open).alias(SEMIS),
         ]
     at_championship = (
-        entered.groupBy(*keys).agg(score, *running, *_chances("event_state")).drop("event_key")
+        entered.groupBy(*fmt.home_team).agg(score, *running, *_chances("event_state"))
     )
     totals = (
         _bonuses(inputs, fmt)

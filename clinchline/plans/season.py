@@ -89,13 +89,15 @@ class SeasonRun:
 
     @cached_property
     def wcmp_spots_v2(self) -> DataFrame:
-        return qualifiers.guaranteed_spots(
-            self.inputs,
-            self.fmt,
-            self.wcmp_spots,
-            self.team_event_states,
-            self._deciding_states,
-            self.lock_status,
+        return self.stages.keep(
+            qualifiers.guaranteed_spots(
+                self.inputs,
+                self.fmt,
+                self.wcmp_spots,
+                self.team_event_states,
+                self._deciding_states,
+                self.lock_status,
+            )
         )
 
     # ---- standings -----------------------------------------------------------------------
