@@ -214,9 +214,11 @@ TABLES = {
         CAST(s_suppkey % 9 - 3 AS INTEGER) AS points_adjustment
       FROM supplier""",
     "prequalified_teams": f"""
-      SELECT '2020s' || CAST(s_suppkey AS STRING) AS district_key,
-        {_team('s_suppkey * 5 + 9')} AS team_key
-      FROM supplier""",
+      SELECT district_key, team_key FROM (
+        SELECT district_key, CASE WHEN l_suppkey % 4 = 2 THEN {_team('l_partkey % 8 + l_suppkey')}
+          ELSE {_team('l_suppkey * 5 + 9')} END AS team_key
+        FROM lines
+      ) r GROUP BY district_key, team_key""",
     "region_lookup": """
       SELECT 'frc' || CAST(number AS STRING) AS team_key,
         CASE WHEN number <= 30 THEN 'north' ELSE 'south' END AS region

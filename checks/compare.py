@@ -16,7 +16,7 @@ _TYPES = {
     "BOOLEAN": T.BooleanType,
     "DATE": T.DateType,
     "DOUBLE": T.DoubleType,
-    "TIMESTAMP": T.TimestampType,
+    "TIMESTAMP": (T.TimestampType, T.TimestampNTZType),
 }
 
 
