@@ -10,6 +10,9 @@ and awards exist as far as that point.
 
 from __future__ import annotations
 
+import re
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 
 from clinchline.plans.stages import Stages
@@ -48,7 +51,14 @@ _PROGRESS = {
         ELSE 12 END""",
 }
 
-_MODE_KEY = {"district": "season", "district_regions": "season"}
+# formats that share their tables
+TABLES_OF = {
+    "district": "season",
+    "district_regions": "season",
+    "dcmp": "dcmp",
+    "dcmp_regions": "dcmp_regions",
+    "dcmp_divisions": "dcmp_divisions",
+}
 
 
 def _number(expression: str) -> str:
@@ -60,7 +70,7 @@ def _team(expression: str) -> str:
 
 
 def lines_sql(mode: str) -> str:
-    key = _MODE_KEY.get(mode, mode)
+    key = TABLES_OF[mode]
     return f"""
       SELECT t.*,
         '2020s' || CAST(l_suppkey AS STRING) AS district_key,
@@ -240,23 +250,25 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def season_inputs(
     spark: SparkSession, sf_dir: str, mode: str, stages: Stages
 ) -> SeasonInputs:
-    """The competition tables of a format, as Spark DataFrames over the test tables.
+    """The competition tables of a format, staged: a real run reads them from storage.
 
-    The mapped lines are staged: they stand for tables that a real run reads from storage.
+    The mapped lines are staged first; the tables made from them do not depend on each
+    other, so their jobs are submitted together.
     """
     base = {t: read(spark, sf_dir, t) for t in ("lineitem", "supplier", "nation", "region")}
     lines = stages.keep(
         spark.sql(lines_sql(mode).replace("FROM lineitem", "FROM {lineitem}"), **base)
     )
-    tables = {}
-    for name, sql in TABLES.items():
+
+    def table(sql: str) -> DataFrame:
         text = sql.replace("lines.*", "src.*").replace("FROM lines", "FROM {lines} src")
         for t in ("supplier", "nation", "region"):
-            text = text.replace(f"FROM {t} ", f"FROM {{{t}}} ").replace(
-                f"JOIN {t} ", f"JOIN {{{t}}} "
-            )
-            text = text.replace(f"FROM {t}", f"FROM {{{t}}}") if f"FROM {t}" in text else text
-        tables[name] = spark.sql(text, lines=lines, **base)
+            text = re.sub(rf"(FROM|JOIN) {t}\b", rf"\1 {{{t}}}", text)
+        return spark.sql(text, lines=lines, **base)
+
+    plans = {name: table(sql) for name, sql in TABLES.items()}
+    with ThreadPoolExecutor(len(plans)) as pool:
+        tables = dict(zip(plans, pool.map(stages.keep, plans.values())))
     return SeasonInputs(qual_points=lookups.qual_points_table(spark), **tables)
 
 

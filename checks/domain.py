@@ -6,39 +6,43 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from checks.adaptor import season_inputs
+from checks.adaptor import TABLES_OF, season_inputs
 from checks.domain_oracle import oracle
 from clinchline.plans.formats import FORMATS
 from clinchline.plans.season import SeasonRun
 from clinchline.plans.stages import Stages
+from clinchline.sources.inputs import SeasonInputs
 
+_inputs: dict[tuple[str, str, str], SeasonInputs] = {}
 _runs: dict[tuple[str, str, str], SeasonRun] = {}
 
 
-def open_run(spark: SparkSession, sf_dir: str, mode: str) -> SeasonRun:
-    """The run of a format over the test tables; its queries share its staged results.
-
-    Runs of other sessions or scales are given back first.
-    """
-    scope = (spark.sparkContext.applicationId, sf_dir)
-    if any(key[:2] != scope for key in _runs):
+def open_inputs(spark: SparkSession, sf_dir: str, mode: str) -> SeasonInputs:
+    """The raw tables of a format over the test tables, made once per session and scale."""
+    key = (spark.sparkContext.applicationId, sf_dir, TABLES_OF[mode])
+    if any(k[:2] != key[:2] for k in _inputs):
         forget()
-    key = (*scope, mode)
+        _inputs.clear()
+    if key not in _inputs:
+        _inputs[key] = season_inputs(spark, sf_dir, mode, Stages(spark))
+    return _inputs[key]
+
+
+def open_run(spark: SparkSession, sf_dir: str, mode: str) -> SeasonRun:
+    """The run of a format over the test tables; its queries share its staged results."""
+    inputs = open_inputs(spark, sf_dir, mode)
+    key = (spark.sparkContext.applicationId, sf_dir, mode)
     if key not in _runs:
-        stages = Stages(spark)
-        inputs = season_inputs(spark, sf_dir, mode, stages)
-        _runs[key] = SeasonRun(spark, inputs, FORMATS[mode], stages)
+        _runs[key] = SeasonRun(spark, inputs, FORMATS[mode])
     return _runs[key]
 
 
 def forget() -> None:
-    """Release all runs, so that the next query starts from the test tables."""
-    while _runs:
-        _, run = _runs.popitem()
-        try:
-            run.release()
-        except Exception:  # the session of the run has ended, and its stages with it
-            continue
+    """Drop all runs, so that the next query starts from the raw tables.
+
+    Written stages stay: results that were handed out may still read them.
+    """
+    _runs.clear()
 
 
 SEASON = ["district", "district_regions"]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.storagelevel import StorageLevel
 
@@ -9,25 +11,36 @@ from pyspark.storagelevel import StorageLevel
 class Stages:
     """Keeps shared intermediate results.
 
-    Where the cluster names a shared folder in ``spark.checkpoint.dir`` a stage is a reliable
-    checkpoint there: its lineage is cut, so a lost executor costs a re-read and not a
-    recomputation. Otherwise it is persisted with disk spill, and recomputed when lost.
+    Where the cluster names a shared folder in ``spark.checkpoint.dir`` a stage is a table
+    written there: its lineage is cut, so a lost executor costs a re-read and not a
+    recomputation, and later steps read only the columns they need and know its size.
+    Otherwise it is persisted with disk spill, and recomputed when lost.
     """
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
-        self.folder = spark.conf.get("spark.checkpoint.dir", None)
-        if self.folder:
-            spark.sparkContext.setCheckpointDir(self.folder)
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        self.folder = f"{shared.rstrip('/')}/stages-{uuid.uuid4()}" if shared else None
         self._kept: list[DataFrame] = []
+        self._tables = 0
 
     def keep(self, df: DataFrame) -> DataFrame:
-        kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-        self._kept.append(kept)
-        # persisted first, so that writing the checkpoint does not compute the rows again
-        return kept.checkpoint(eager=True) if self.folder else kept
+        if self.folder is None:
+            kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+            self._kept.append(kept)
+            return kept
+        self._tables += 1
+        path = f"{self.folder}/{uuid.uuid4()}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     def release(self) -> None:
+        """Give everything back; results built from the stages cannot be read after this."""
         for df in self._kept:
             df.unpersist()
         self._kept.clear()
+        if self.folder is not None and self._tables:
+            jvm, jsc = self.spark._jvm, self.spark._jsc
+            path = jvm.org.apache.hadoop.fs.Path(self.folder)
+            path.getFileSystem(jsc.hadoopConfiguration()).delete(path, True)
+            self._tables = 0
