@@ -511,6 +511,7 @@ def _j10(t):
     counts = t("lineitem").groupBy("l_suppkey", "l_linenumber").agg(_n())
     spark = counts.sparkSession
     points = spark.createDataFrame([(1, 50), (2, 40), (3, 35), (4, 20), (5, 10)], "l_linenumber int, pts int")
+    # five constant rows
     curve = points.withColumn(
         "through", F.sum("pts").over(Window.partitionBy(F.lit(0)).orderBy("l_linenumber"))
     ).drop("pts")

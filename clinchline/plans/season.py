@@ -328,6 +328,15 @@ class SeasonRun:
         passed = self.gate.where("publish").select(*f.home)
         return {n: t.join(passed, f.home, "left_semi") for n, t in tables.items()}
 
+    def stage_results(self) -> None:
+        """Stage, in dependency order, the results that tables and reports both read."""
+        names = ["team_event_states", "event_points_remaining"]
+        for v in ["", *(["_v2"] if self.fmt.second_reach else [])]:
+            names += [f"teams_to_pass{v}", f"pass_summary{v}", f"following_teams{v}"]
+            names.append(f"lock_status{v}")
+        for name in names:
+            self.__dict__[name] = self.stages.keep(getattr(self, name))
+
     def release(self) -> None:
         self.stages.release()
 
@@ -340,6 +349,7 @@ def run_season(
 
     run = SeasonRun(spark, inputs, fmt)
     try:
+        run.stage_results()
         write_tables(run.result_tables(), f"{folder}/tables", fmt)
         write_tables({"gate": run.gate, "event_checks": run.event_checks}, f"{folder}/quality", fmt)
         write_reports(run.report_tables(), f"{folder}/reports", fmt)

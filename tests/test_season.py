@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from checks.adaptor import season_inputs
+from checks.domain import open_inputs
 from clinchline import run_season
 from clinchline.plans.formats import FORMATS, format_for
 from clinchline.plans.season import SeasonRun
@@ -14,7 +14,7 @@ FACTS = ["matches", "alliances", "awards", "event_points", "event_teams"]
 
 
 def inputs_of(spark, mode):
-    return season_inputs(spark, SMALL, mode, Stages(spark))
+    return open_inputs(spark, SMALL, mode)
 
 
 def rows(df):
@@ -97,3 +97,21 @@ def test_properties_of_the_standings(spark):
         second.wcmp_spots_v2.withColumnRenamed("wcmp_spots", "later"), "district_key"
     )
     assert spots.where("later < wcmp_spots").count() == 0
+
+
+def test_stages_persist_where_no_shared_folder_is_named(spark):
+    stages = Stages(spark)
+    stages.folder = None
+    kept = stages.keep(spark.range(5))
+    assert kept.storageLevel.useDisk and kept.count() == 5
+    stages.release()
+    assert not kept.storageLevel.useDisk
+
+
+def test_stages_write_below_the_shared_folder(spark, tmp_path):
+    stages = Stages(spark)
+    stages.folder = str(tmp_path / "stages")
+    kept = stages.keep(spark.range(5))
+    assert kept.count() == 5 and str(tmp_path) in kept.inputFiles()[0]
+    stages.release()
+    assert not (tmp_path / "stages").exists()
