@@ -9,8 +9,9 @@ on the full sets of both whole texts. Verified links are joined to components.
 Candidates of a bucket are not all its pairs. First each member meets the smallest one of its
 bucket. Then only members of the bucket that are still in different components meet: their
 pairs are compared inside tasks, a large bucket being split in blocks whose pairs of blocks are
-dealt out, and only those that pass the posterior test leave the task. So no link between
-components is lost, and a group of many copies costs about as many rows as it has members.
+dealt out. Members with a pair that passes the posterior test meet once more with their texts,
+and only verified links leave the task, one for two components. So no link between components is
+lost, and a group of many copies costs about as many rows as it has members.
 """
 
 from __future__ import annotations
@@ -100,7 +101,7 @@ def mix_to(x: np.ndarray, a: np.uint64) -> np.ndarray:
 
 
 def _band_keys(size: int, bands: int):
-    schema = pa.schema([("key", pa.int64()), ("id", pa.int64())])
+    schema = pa.schema([("key", pa.int64()), ("band", pa.int32()), ("id", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -114,7 +115,8 @@ def _band_keys(size: int, bands: int):
                     acc = mix(acc + sig[:, b * BAND_ROWS + k])
                 keys[:, b] = acc
             ids = np.repeat(batch.column("id").to_numpy(zero_copy_only=False), bands)
-            yield batch_of(schema, key=keys.ravel().view(np.int64), id=ids)
+            band = np.tile(np.arange(bands, dtype=np.int32), len(sig))
+            yield batch_of(schema, key=keys.ravel().view(np.int64), band=band, id=ids)
 
     return run
 
@@ -154,52 +156,75 @@ def _prune(size: int, num: int, den: int, least: np.ndarray):
     return run
 
 
-def _meet(size: int, num: int, den: int, least: np.ndarray):
-    """Pairs of members of a (bucket, block, block) that lie in different components and are likely."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+def _likely_pairs(table: pa.Table, size: int, num: int, den: int, least: np.ndarray):
+    """(root, i, others): members of a (bucket, block, block) and whom they may be linked with.
 
-    def pairs(table: pa.Table):
-        ids = table.column("id").to_numpy()
-        comp = table.column("comp").to_numpy()
-        n = table.column("n").to_numpy()
-        own = table.column("own").to_numpy()
-        same = table.column("bi")[0].as_py() == table.column("bj")[0].as_py()
-        sig = _matrix(table.column("sig").combine_chunks(), size)
-        found = []
-        for i in range(len(ids)):
-            other = np.flatnonzero(comp != comp[i])
-            other = other[ids[other] > ids[i]] if same else other[own[other] != own[i]]
-            if not same and not own[i]:
-                continue
-            if len(other):
-                k = _likely(
-                    np.broadcast_to(sig[i], (len(other), size)), sig[other],
-                    np.full(len(other), n[i]), n[other], num, den, least,
-                )
-                found += [(min(ids[i], x), max(ids[i], x)) for x in ids[other[k]]]
-        return found
+    Only pairs of different components count, and of those the ones whose first common band is the
+    bucket's, so that a pair meets in one bucket only. ``root`` holds each member's component; the
+    caller may merge components in it, which takes their pairs out.
+    """
+    ids = table.column("id").to_numpy()
+    root = table.column("comp").to_numpy().copy()
+    n = table.column("n").to_numpy()
+    own = table.column("own").to_numpy()
+    band = table.column("band")[0].as_py()
+    same = table.column("bi")[0].as_py() == table.column("bj")[0].as_py()
+    sig = _matrix(table.column("sig").combine_chunks(), size)
+    for i in range(len(ids)):
+        if not same and not own[i]:
+            continue
+        other = np.flatnonzero(root != root[i])
+        other = other[ids[other] > ids[i]] if same else other[own[other] != own[i]]
+        if len(other):
+            k = _likely(
+                np.broadcast_to(sig[i], (len(other), size)), sig[other],
+                np.full(len(other), n[i]), n[other], num, den, least,
+            )
+            other = other[k]
+        if len(other) and band:
+            before = (sig[other, : band * BAND_ROWS] == sig[i, : band * BAND_ROWS]).reshape(len(other), band, BAND_ROWS)
+            other = other[~before.all(axis=2).any(axis=1)]
+        if len(other):
+            yield root, i, other
+
+
+def _involved(size: int, num: int, den: int, least: np.ndarray):
+    """The members of a group that have a likely pair: (key, bi, bj, id)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: list[pa.RecordBatch] = []
-        for batch in _chain(batches):
-            if batch is not None and batch.num_rows == 0:
-                continue
-            if batch is not None:
-                rest.append(batch)
-            if not rest:
-                continue
-            table = pa.Table.from_batches(rest)
-            key = [table.column(c).to_numpy() for c in ("key", "bi", "bj")]
-            cut = np.flatnonzero(np.any([k[1:] != k[:-1] for k in key], axis=0)) + 1
-            bounds = [0, *cut.tolist(), table.num_rows]
-            if batch is not None:
-                last = bounds.pop(-2) if len(bounds) > 2 else 0
-                bounds[-1] = last
-                rest = table.slice(last).combine_chunks().to_batches()
+        for table in _groups(batches):
+            rows = [np.append(other, i) for _, i, other in _likely_pairs(table, size, num, den, least)]
+            if rows:
+                found = table.select(["key", "bi", "bj", "id"]).take(pa.array(np.unique(np.concatenate(rows))))
+                yield from found.combine_chunks().to_batches()
+
+    return run
+
+
+def _linked(size: int, num: int, den: int, least: np.ndarray, shingle_words: int):
+    """Links between components, verified on full sets; of two components of a group one link."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _groups(batches):
+            sets: dict[int, np.ndarray] = {}
+
+            def of(i: int) -> np.ndarray:
+                if i not in sets:
+                    if len(sets) >= BLOCK:
+                        sets.clear()
+                    sets[i] = shingles(Words([table.column("text")[i].as_py()]), shingle_words)[0]
+                return sets[i]
+
+            ids = table.column("id").to_numpy()
             found = []
-            for i, j in zip(bounds[:-1], bounds[1:]):
-                if j - i > 1:
-                    found += pairs(table.slice(i, j - i))
+            for root, i, other in _likely_pairs(table, size, num, den, least):
+                for j in other:
+                    if root[i] != root[j]:
+                        both = np.isin(of(i), of(j), assume_unique=True).sum()
+                        if den * both >= num * (len(of(i)) + len(of(j)) - both):
+                            found.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
+                            root[root == root[j]] = root[i]
             if found:
                 a, b = zip(*found)
                 yield batch_of(schema, a=a, b=b)
@@ -207,6 +232,26 @@ def _meet(size: int, num: int, den: int, least: np.ndarray):
     return run
 
 
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Whole (key, bi, bj) groups of two rows or more, of rows sorted by them."""
+    rest: list[pa.RecordBatch] = []
+    for batch in _chain(batches):
+        if batch is not None:
+            rest += [batch] if batch.num_rows else []
+        if not rest:
+            continue
+        table = pa.Table.from_batches(rest)
+        key = [table.column(c).to_numpy() for c in ("key", "bi", "bj")]
+        cut = np.flatnonzero(np.any([k[1:] != k[:-1] for k in key], axis=0)) + 1
+        bounds = [0, *cut.tolist(), table.num_rows]
+        if batch is not None:  # the last group may go on
+            bounds.pop()
+            rest = table.slice(bounds[-1]).combine_chunks().to_batches()
+        for i, j in zip(bounds[:-1], bounds[1:]):
+            if j - i > 1:
+                yield table.slice(i, j - i)
+
+
 def _chain(batches):
     yield from batches
     yield None
@@ -272,7 +317,7 @@ def near_duplicates(
         named.groupBy("n", "ha", "hb").agg(F.min("id").alias("id"), F.min("sig").alias("sig")),
         "representatives",
     )
-    keyed = reps.select("id", "sig").mapInArrow(_band_keys(size, bands), "key long, id long")
+    keyed = reps.select("id", "sig").mapInArrow(_band_keys(size, bands), "key long, band int, id long")
     shared = staged(
         keyed.join(
             keyed.groupBy("key").agg(F.min("id").alias("center"), F.count("*").alias("members")),
@@ -281,33 +326,33 @@ def near_duplicates(
         "buckets",
     )
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        pairs = staged(pairs, "pairs")
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    def texts_of(ids: DataFrame) -> DataFrame:
+        ids = ids.distinct()
         if ids.count() <= BROADCAST_IDS:
             ids = F.broadcast(ids)
-        texts = source.join(ids, "id", "left_semi").dropDuplicates(["id"])
-        right = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
-        full = right.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
-        return staged(
-            full.select("a", "b", "text_a", "text_b").mapInArrow(
-                _verify(shingle_words, num, den), "a long, b long"
-            ),
-            "links",
-        )
+        return source.join(ids, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
 
     side = lambda s: reps.select(F.col("id").alias(s), F.col("n").alias(f"n_{s}"), F.col("sig").alias(f"sig_{s}"))
     star = (
         shared.where("id <> center").select(F.col("center").alias("a"), F.col("id").alias("b")).distinct()
     )
-    links = verified(
+    pairs = staged(
         star.join(side("b"), "b").join(side("a"), "a").mapInArrow(
             _prune(size, num, den, least), "a long, b long"
-        )
+        ),
+        "pairs",
+    )
+    texts = texts_of(pairs.select(F.explode(F.array("a", "b")).alias("id")))
+    links = staged(
+        pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
+        .join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
+        .select("a", "b", "text_a", "text_b")
+        .mapInArrow(_verify(shingle_words, num, den), "a long, b long"),
+        "links",
     )
     found = connected_components(links)
     member = shared.join(found.withColumnRenamed("node", "id"), "id", "left").select(
-        "key", "id", "members", F.coalesce("component", "id").alias("comp")
+        "key", "band", "id", "members", F.coalesce("component", "id").alias("comp")
     )
     open_keys = (
         member.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
@@ -319,19 +364,27 @@ def near_duplicates(
         .withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
         .select(
-            "key", "id", "comp", "n", "sig",
+            "key", "band", "id", "comp", "n", "sig",
             F.least("block", "other").alias("bi"),
             F.greatest("block", "other").alias("bj"),
             (F.col("block") <= F.col("other")).alias("own"),
         )
     )
-    cross = (
+    dealt = staged(dealt, "dealt")
+    involved = staged(
         dealt.repartition("key", "bi", "bj")
         .sortWithinPartitions("key", "bi", "bj")
-        .mapInArrow(_meet(size, num, den, least), "a long, b long")
-        .distinct()
+        .mapInArrow(_involved(size, num, den, least), "key long, bi int, bj int, id long"),
+        "involved",
+    )
+    more = staged(
+        dealt.join(involved, ["key", "bi", "bj", "id"])
+        .join(texts_of(involved.select("id")), "id")
+        .repartition("key", "bi", "bj")
+        .sortWithinPartitions("key", "bi", "bj")
+        .mapInArrow(_linked(size, num, den, least, shingle_words), "a long, b long"),
+        "links",
     )
-    more = verified(cross)
     if not more.isEmpty():
         found = connected_components(links.union(more))
     components = staged(
