@@ -35,7 +35,7 @@ def signatures(text: Column, anchors: list[str] = ANCHORS, chain: int = CHAIN) -
     words = F.concat(F.lit(" "), F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " "), F.lit(" "))
     marked = F.regexp_replace(words, f" (?=(?:{'|'.join(sorted(set(anchors)))}) )", " " + _MARK)
     spots = F.transform(
-        F.filter(F.slice(F.split(marked, _MARK), 2, 2**31 - 1), lambda s: F.rtrim(s).contains(" ")),
+        F.filter(F.split(marked, _MARK), lambda s, i: (i > 0) & F.rtrim(s).contains(" ")),
         lambda s: F.substring_index(F.rtrim(s), " ", chain + 1),
     )
     low = lambda s: F.xxhash64(s).bitwiseAND(F.lit((1 << 48) - 1))
