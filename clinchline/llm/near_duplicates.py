@@ -293,7 +293,7 @@ def near_duplicates(
     Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case; documents are linked where
     ``den * |A and B| >= num * |A or B|`` for ``threshold = (num, den)``. ``component_id`` is
     the smallest id reachable over links, ``kept`` marks the document that has it. ``miss`` bounds the probability that
-    banding overlooks a pair at the threshold, and likewise that the posterior test drops it.
+    banding overlooks a pair at the threshold; a pair is dropped once its posterior is below ``miss``.
 
     Texts that are null, empty or without words have no shingles, are linked with nothing and
     kept. Shorter texts than a shingle are one shingle. Repeated rows of an id each get a row

@@ -191,8 +191,9 @@ def fit_quality(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", lab
         *[f(F.col("stats")[i].cast("double")) for i in range(STATISTICS) for f in (F.avg, F.stddev_pop)],
     ).first()
     if not moments[0]:
-        zero = np.zeros(STATISTICS)
-        return QualityModel(zero, zero + 1, np.zeros(FEATURES), np.array([0.0]), np.array([0.5]))
+        zero, even = np.zeros(STATISTICS), np.zeros(FEATURES)
+        even[-1] = 0.5
+        return QualityModel(zero, zero + 1, even, np.array([0.0]), np.array([0.5]))
     mean, scale = np.array(moments[1::2]), np.array(moments[2::2])
     scale = np.where(scale > 1e-9, scale, 1.0)
     sums = _normal_sums(rows, mean, scale)

@@ -111,7 +111,7 @@ def _runs(length: int, buckets: int):
     schema = pa.schema([("bucket", pa.int32()), ("run", pa.binary()), ("doc", pa.int64()), ("at", pa.int64())])
 
     def flush(held: list[tuple]):
-        held.sort()
+        held = sorted(set(held))
         by_bucket: dict[int, list[bytes]] = {}
         last: dict[int, bytes] = {}
         window: dict[int, bytes] = {}
@@ -246,7 +246,7 @@ def repeated_windows(group: list[tuple], length: int) -> list[tuple[int, int]]:
 
     ``group`` holds (right, left, doc, start, windows before the minimizer, windows - 1).
     """
-    group = sorted(group, key=lambda g: (g[2], g[3]))
+    group = sorted(set(group), key=lambda g: (g[2], g[3]))  # a repeated row is the same document
     seen: set[tuple[int, bytes]] = set()
     out = []
     for right, left, doc, start, before, span in group:
