@@ -95,8 +95,9 @@ def fingerprint_changes(
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     links = following(rows, "id", F.length("text"))
     least = Window.partitionBy("id").orderBy("text")
+    # A left join here too, though every id has a link: both joins then read one exchange of texts.
     heads = (
-        rows.join(links, "id")
+        rows.join(links, "id", "left")
         .withColumn("n", F.row_number().over(least))
         .where("n = 1")
         .select(
