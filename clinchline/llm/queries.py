@@ -17,6 +17,8 @@ _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     # Python workers must find this package wherever the driver was started
     spark.sparkContext.environment.setdefault("PYTHONPATH", _ROOT)
+    # rows hold whole texts: small Arrow batches keep workers and their executor small
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
