@@ -7,6 +7,8 @@ them.
 
 from __future__ import annotations
 
+import re
+
 from checks.adaptor import oracle_ctes
 
 PHASE_ORD = """(VALUES ('Pre-Event', 0), ('Qualifications', 1), ('Selections', 2),
@@ -870,6 +872,14 @@ def ctes(mode: str) -> list[tuple[str, str]]:
 
 
 def oracle(mode: str, query: str) -> str:
-    """A check query over the named results of a format."""
-    named = ",\n".join(f"{name} AS ({sql})" for name, sql in ctes(mode))
-    return f"WITH {named}\n{query}"
+    """A check query over the named results of a format: those it needs, each computed once."""
+    wanted, needed = {*_names(query)}, []
+    for name, sql in reversed(ctes(mode)):  # a query only reads earlier ones
+        if name in wanted:
+            wanted.update(_names(sql))
+            needed.append(f"{name} AS MATERIALIZED ({sql})")
+    return "WITH " + ",\n".join(reversed(needed)) + f"\n{query}"
+
+
+def _names(sql: str) -> list[str]:
+    return re.findall(r"[A-Za-z_][A-Za-z_0-9]*", sql)

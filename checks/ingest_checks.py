@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from checks.domain import open_run
 from checks.domain_oracle import oracle
 from clinchline import schemas
+from clinchline.functions.columns import column_from
 from clinchline.sources import landed, lookups
 
 C = F.col
@@ -121,7 +122,7 @@ def _rankings(run) -> DataFrame:
 
 def _pages(run) -> DataFrame:
     row = F.struct(
-        F.substring("team_key", 4, 20).cast("int").alias("teamNumber"),
+        column_from("team_key", 4).cast("int").alias("teamNumber"),
         "rank",
         C("points").alias("totalPoints"),
         F.nullif("rookie_bonus", F.lit(0)).alias("teamAgePoints"),
@@ -148,7 +149,7 @@ def _s8(run):
            AS points, rookie_bonus FROM district_rankings""",
 )
 def _s9(run):
-    has_pages = F.substring("district_key", 6, 20).cast("int") % 3 == 0
+    has_pages = column_from("district_key", 6).cast("int") % 3 == 0
     later = _rankings(run).withColumn("points", C("points") + 1)
     return landed.first_source([_pages(run).where(has_pages), later])
 

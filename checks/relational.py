@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from checks.adaptor import read
 from clinchline.functions.columns import (
+    column_from,
     any_of,
     none_of,
     one_of,
@@ -236,7 +237,7 @@ def _f14(t):
     "SELECT c_custkey, SUBSTRING(c_name, 10) AS number FROM customer",
 )
 def _f15(t):
-    return t("customer").select("c_custkey", F.substring("c_name", 10, 50).alias("number"))
+    return t("customer").select("c_custkey", column_from("c_name", 10).alias("number"))
 
 
 @_entry(
@@ -515,7 +516,7 @@ def _j10(t):
     curve = points.withColumn(
         "through", F.sum("pts").over(Window.partitionBy(F.lit(0)).orderBy("l_linenumber"))
     ).drop("pts")
-    return counts.join(F.broadcast(curve), "l_linenumber")
+    return counts.join(curve, "l_linenumber")
 
 
 @_entry(

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from checks.domain import ALL, CHAMPIONSHIP, SEASON, open_run
 from checks.domain_oracle import oracle
+from clinchline.functions.columns import column_from
 from clinchline.operators import quality, reports
 
 _ENTRIES: dict[str, tuple[str, Callable, str]] = {}
@@ -51,7 +52,7 @@ def _event_checks_sql(mode: str) -> str:
 
 def _expected(run) -> DataFrame:
     """Expected sizes of the test districts: some known, some with slack, some not."""
-    number = F.substring("district_key", 6, 20).cast("int")
+    number = column_from("district_key", 6).cast("int")
     return run.inputs.district_lookup.where(number % 5 != 0).select(
         "district_key",
         (F.lit(60) + (number % 3).cast("int")).alias("expected"),

@@ -54,12 +54,18 @@ def percent_label(part: Column, whole: Column, ceiling: str = "99.9") -> Column:
     A zero ``whole`` gives the ceiling, a missing ratio is ignored by ``least``.
     """
     ratio = F.try_divide(
-        (part * 100).cast("decimal(20,0)"), whole.cast("decimal(10,0)")
+        (part * 100).cast("decimal(20,0)"), whole.cast("decimal(20,0)")
     )
-    shown = F.least(F.round(ratio, 1).cast("decimal(12,1)"), F.lit(ceiling).cast("decimal(12,1)"))
+    shown = F.least(F.round(ratio, 1).cast("decimal(22,1)"), F.lit(ceiling).cast("decimal(22,1)"))
     return F.concat(shown.cast("string"), F.lit("%"))
 
 
+def column_from(column: str | Column, start: int) -> Column:
+    """A text from its character ``start`` on, to its end however long it is."""
+    text = F.col(column) if isinstance(column, str) else column
+    return text.substr(F.lit(start), F.length(text))
+
+
 def points_short(column: str) -> Column:
     """Display rule: missing points are shown as 0."""
     return F.coalesce(F.col(column), F.lit(0))

@@ -106,7 +106,7 @@ def _with_total(df: DataFrame, head: list[str], quals: str) -> DataFrame:
 
 def season_event_budget(inputs: SeasonInputs, fmt: Format, states: DataFrame) -> DataFrame:
     """Points remaining per district event."""
-    sizes = F.broadcast(qual_points_by_size(inputs))  # one row per event size
+    sizes = qual_points_by_size(inputs)  # one row per event size
     rookies = _rookie_events(_entries(inputs, fmt, states), fmt)
     state = F.col("event_state")
     events = (
@@ -179,7 +179,7 @@ def regional_event_budget(
     selection_cap = F.when(
         F.col("team_count") >= len(slots), fv.SELECTION_POINTS
     ).otherwise(rule_value(selection_rule, F.col("team_count")))
-    curve = F.broadcast(qual_points_through_rank(inputs))  # 3,115 rows
+    curve = qual_points_through_rank(inputs)  # 3,115 rows
     events = (
         states.select(*fmt.event, "event_state")
         .join(
@@ -220,7 +220,7 @@ def championship_event_budget(
     """Points remaining per championship event, or per division and finals event."""
     times = fmt.multiplier
     state = F.col("event_state")
-    sizes = F.broadcast(qual_points_by_size(inputs))  # one row per event size
+    sizes = qual_points_by_size(inputs)  # one row per event size
     entered = _event_sizes(inputs, fmt)
     events = (
         states.join(entered, fmt.event)

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from clinchline.functions.columns import points_short
+from clinchline.functions.columns import column_from, points_short
 from clinchline.plans.formats import Format
 from clinchline.sources.inputs import SeasonInputs
 
@@ -21,7 +21,7 @@ def final_statuses(fmt: Format) -> list[str]:
 
 def team_number(column: str) -> Column:
     """Numeric part of a team key."""
-    return F.substring(column, 4, 20)
+    return column_from(column, 4)
 
 
 def rankings(status: DataFrame, fmt: Format) -> DataFrame:
@@ -227,7 +227,7 @@ def page_index(
         ).distinct()
         events = regions.select(*fmt.home, "event_key", "region")
     suffix = F.concat(F.lit("_"), F.col("region")) if fmt.regional else F.lit("")
-    code = F.substring("district_key", 5, 50)
+    code = column_from("district_key", 5)
 
     def page(df: DataFrame, kind: str, key: str, path: Column) -> DataFrame:
         return df.select(

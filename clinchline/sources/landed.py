@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from clinchline import fixed_values as fv, schemas
+from clinchline.functions.columns import column_from
 
 _LANDED = {
     "events": (schemas.EVENTS_JSON, "district_key string"),
@@ -149,7 +150,7 @@ def page_request(district_key: Column) -> list[Column]:
     """Year and code under which the paginated source knows a district."""
     return [
         F.substring(district_key, 1, 4).cast("int").alias("year"),
-        F.upper(F.substring(district_key, 5, 50)).alias("district_code"),
+        F.upper(column_from(district_key, 5)).alias("district_code"),
     ]
 
 
