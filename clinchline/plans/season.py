@@ -350,8 +350,10 @@ def run_season(
     run = SeasonRun(spark, inputs, fmt)
     try:
         run.stage_results()
-        write_tables(run.result_tables(), f"{folder}/tables", fmt)
-        write_tables({"gate": run.gate, "event_checks": run.event_checks}, f"{folder}/quality", fmt)
+        owners = inputs.events.select(*fmt.home, "event_key").distinct()
+        write_tables(run.result_tables(), f"{folder}/tables", fmt, owners)
+        checks = {"gate": run.gate, "event_checks": run.event_checks}
+        write_tables(checks, f"{folder}/quality", fmt, owners)
         write_reports(run.report_tables(), f"{folder}/reports", fmt)
     finally:
         run.release()

@@ -44,10 +44,23 @@ def read_raw_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     }
 
 
-def write_tables(tables: Mapping[str, DataFrame], folder: str, fmt: Format) -> None:
+def write_tables(
+    tables: Mapping[str, DataFrame], folder: str, fmt: Format, owners: DataFrame | None = None
+) -> None:
+    """Write each table by district, so that a run replaces only the districts it holds.
+
+    A table of events that does not name its district gets it from ``owners`` (district and
+    event keys, one row per event). One that still has none would erase other runs: an error.
+    """
     for name, table in tables.items():
-        keys = [k for k in fmt.home if k in table.columns]
-        save_table(table, f"{folder}/{name}", keys)
+        if owners is not None and not set(fmt.home) <= set(table.columns) and "event_key" in table.columns:
+            table = table.join(owners, [c for c in owners.columns if c in table.columns])
+        missing = [k for k in fmt.home if k not in table.columns]
+        if missing:
+            raise ValueError(f"{name} has no {', '.join(missing)}; writing it would erase other districts")
+        spread = [k for k in ("event_key", "team_key") if k in table.columns]
+        laid_out = table.repartitionByRange(*fmt.home, *spread)
+        save_table(laid_out, f"{folder}/{name}", list(fmt.home))
 
 
 def write_reports(reports: Mapping[str, DataFrame], folder: str, fmt: Format) -> None:

@@ -3,6 +3,7 @@ import json
 
 import pytest
 
+from clinchline.plans.formats import FORMATS
 from clinchline import fixed_values as fv
 from clinchline.sources import landed, lookups, tables
 from clinchline.streaming.landing import append_landed
@@ -167,3 +168,30 @@ def test_fixed_lookups(spark):
     sizes = {n: t.count() for n, t in fixed.items()}
     assert sizes["qual_points"] == 3115 and sizes["district_lookup"] == 31
     assert sizes["points_adjustments"] == 21 and sizes["prequalified_teams"] == 17
+
+
+def test_a_second_run_keeps_the_first_runs_districts(spark, tmp_path):
+    fmt = FORMATS["district"]
+    folder = str(tmp_path / "runs")
+    for district in ("2026aa", "2026bb"):
+        owners = spark.createDataFrame([(district, f"{district}e")], "district_key string, event_key string")
+        budget = spark.createDataFrame([(f"{district}e", 5)], "event_key string, points int")
+        status = spark.createDataFrame([(district, "frc1")], "district_key string, team_key string")
+        tables.write_tables({"budget": budget, "status": status}, folder, fmt, owners)
+    for name in ("budget", "status"):
+        rows = spark.read.parquet(f"{folder}/{name}").collect()
+        assert {r.district_key for r in rows} == {"2026aa", "2026bb"}
+    with pytest.raises(ValueError, match="district_key"):
+        tables.write_tables({"stray": spark.range(1)}, folder, fmt)
+
+
+def test_keys_and_counts_are_not_cut(spark):
+    from pyspark.sql import functions as F
+
+    from clinchline.functions.columns import column_from, percent_label
+
+    row = spark.range(1).select(
+        column_from(F.lit("frc" + "1" * 80), 4).alias("key"),
+        percent_label(F.lit(10**11), F.lit(4 * 10**11)).alias("share"),
+    ).first()
+    assert (row.key, row.share) == ("1" * 80, "25.0%")
