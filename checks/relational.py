@@ -444,20 +444,24 @@ def _j6(t):
        WHERE a.place <= 3 GROUP BY 1""",
 )
 def _j7(t):
-    # a leader's followers are counted per block of places before they meet the leader
+    # leaders meet their followers by blocks of places, so a large nation is many join keys
     ranked = spread_row_number(
         t("supplier").select("s_nationkey", "s_suppkey", "s_acctbal"),
         ["s_nationkey"],
-        [Piece(C("s_acctbal"), descending=True)],
-        [C("s_suppkey").asc()],
+        [Piece(F.floor(C("s_acctbal") / 100), descending=True)],
+        [C("s_acctbal").desc(), C("s_suppkey").asc()],
         "place",
     )
     leaders = ranked.where(C("place") <= 3).select("s_nationkey", "s_suppkey", "place")
-    sizes = ranked.groupBy("s_nationkey").agg(F.max("place").cast("long").alias("last"))
-    below = C("last") - C("place")
-    total = C("last") * (C("last") + 1) - C("place") * (C("place") + 1)
-    return leaders.join(sizes, "s_nationkey").where(below > 0).select(
-        "s_suppkey", below.alias("below"), (total / 2).cast("long").alias("places")
+    sizes = ranked.groupBy("s_nationkey").agg(F.max("place").alias("last"))
+    blocks = F.explode(F.sequence(F.lit(0).cast("long"), rank_block("last"))).alias("block")
+    spread = leaders.join(sizes, "s_nationkey").select("s_nationkey", "s_suppkey", "place", blocks)
+    below = ranked.select("s_nationkey", C("place").alias("lower"), rank_block("place").alias("block"))
+    return (
+        spread.join(below, ["s_nationkey", "block"])
+        .where(C("lower") > C("place"))
+        .groupBy("s_suppkey")
+        .agg(F.count(F.lit(1)).alias("below"), F.sum("lower").alias("places"))
     )
 
 

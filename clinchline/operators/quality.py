@@ -101,6 +101,16 @@ def gate(event_verdicts: DataFrame, team_verdicts: DataFrame, fmt: Format) -> Da
     )
 
 
+def hold_back_unranked(gate: DataFrame, inputs: SeasonInputs, fmt: Format) -> DataFrame:
+    """A district without any rankings is not published; the others are not affected."""
+    ranked = inputs.district_rankings.select(*fmt.home).distinct().withColumn("_ranked", F.lit(True))
+    return (
+        gate.join(ranked, fmt.home, "left")
+        .withColumn("publish", F.col("publish") & F.col("_ranked").isNotNull())
+        .drop("_ranked")
+    )
+
+
 def open_questions(inputs: SeasonInputs, fmt: Format, states: DataFrame) -> DataFrame:
     """Counts of rows the rules silently leave out, per district."""
     unknown = states.groupBy(*fmt.home).agg(

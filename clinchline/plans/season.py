@@ -1,8 +1,8 @@
 """One run: the operators composed for a format.
 
 ``SeasonRun`` names every result table of a run and builds each at most once, on first
-use. Nothing is executed before an action; only the few results with several readers are
-staged.
+use. Only the few results with several readers are staged; with a shared folder that writes
+them at once, all else waits for an action.
 """
 
 from __future__ import annotations
@@ -36,7 +36,11 @@ class SeasonRun:
 
     @cached_property
     def event_regions(self) -> DataFrame | None:
-        return phases.event_regions(self.inputs, self.fmt) if self.fmt.regional else None
+        if not self.fmt.regional:
+            return None
+        if self.inputs.region_lookup is None:
+            raise ValueError("a format with regions needs region_lookup: team_key, region")
+        return phases.event_regions(self.inputs, self.fmt)
 
     @cached_property
     def event_states(self) -> DataFrame:
@@ -270,7 +274,8 @@ class SeasonRun:
 
     @cached_property
     def gate(self) -> DataFrame:
-        return quality.gate(self.event_checks, self.team_count_checks, self.fmt)
+        gate = quality.gate(self.event_checks, self.team_count_checks, self.fmt)
+        return quality.hold_back_unranked(gate, self.inputs, self.fmt)
 
     def result_tables(self) -> dict[str, DataFrame]:
         """Every result table of the format, by name, in dependency order."""
@@ -345,6 +350,7 @@ def run_season(
     spark: SparkSession, inputs: SeasonInputs, fmt: Format, folder: str
 ) -> SeasonRun:
     """Build all tables of a run and write them and the reports below ``folder``."""
+    from clinchline.sources.landed import short_sides
     from clinchline.sources.tables import write_reports, write_tables
 
     run = SeasonRun(spark, inputs, fmt)
@@ -352,7 +358,12 @@ def run_season(
         run.stage_results()
         owners = inputs.events.select(*fmt.home, "event_key").distinct()
         write_tables(run.result_tables(), f"{folder}/tables", fmt, owners)
-        checks = {"gate": run.gate, "event_checks": run.event_checks}
+        checks = {
+            "gate": run.gate,
+            "event_checks": run.event_checks,
+            "open_questions": quality.open_questions(inputs, fmt, run.event_states),
+            "short_sides": short_sides(inputs.matches, fmt.event),
+        }
         write_tables(checks, f"{folder}/quality", fmt, owners)
         write_reports(run.report_tables(), f"{folder}/reports", fmt)
     finally:

@@ -2,8 +2,10 @@
 
 Each API response is landed unchanged as one JSON file, below folders that name the key it
 was asked for: ``<landing>/<table>/district_key=.../...json`` for district responses and
-``<landing>/<table>/event_key=.../...json`` for event responses. All files of a table are
-read in one distributed scan with an explicit schema. The ``flatten_*`` functions are plain
+``<landing>/<table>/event_key=.../...json`` for event responses. A key may be fetched again: a
+folder ``fetched_on=<date>`` below the key (in all of a table or in none) dates the response,
+and the newest response of each key counts. All files of a table are read in one distributed
+scan with an explicit schema. The ``flatten_*`` functions are plain
 DataFrame transformations, so they serve batch and streaming reads alike.
 """
 
@@ -29,18 +31,54 @@ _LANDED = {
     "ranking_pages": (schemas.RANKING_PAGES_JSON, "district_key string"),
 }
 
+#: Tables whose response is a set of files, one a page.
+_PAGED = {"ranking_pages"}
+
 
 def landed_schema(table: str) -> str:
     """Schema of the response elements and of the folder key."""
     return ", ".join(_LANDED[table])
 
 
-def read_landed(spark: SparkSession, landing: str, table: str) -> DataFrame:
-    """All responses of one kind; a JSON array gives one row per element."""
+def stamped_files(rows: DataFrame) -> DataFrame:
+    """Path and time of the file each row was read from."""
+    return rows.select(
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_modification_time").alias("_landed"),
+    )
+
+
+def newest_files(files: DataFrame, table: str, as_of: dt.date | None = None) -> DataFrame:
+    """The files of each key's newest response, of those fetched by ``as_of``.
+
+    The newest has the latest ``fetched_on``, then the latest modification time, then the last
+    path; a paged response is all files of its latest date. Undated files are older than dated ones.
+    """
+    part = lambda name: F.regexp_extract("_file", f"/{name}=([^/]+)/", 1)
+    key = _LANDED[table][1].split()[0]
+    stamped = files.select("_file", "_landed", part(key).alias("_key"), part("fetched_on").alias("_day"))
+    if as_of is not None:
+        stamped = stamped.where(F.col("_day") <= as_of.isoformat())
+    best = stamped.groupBy("_key").agg(F.max(F.struct("_day", "_landed", "_file")).alias("_best"))
+    if table in _PAGED:
+        return stamped.join(best.select("_key", "_best._day"), ["_key", "_day"]).select("_file")
+    return best.select("_best._file")
+
+
+def read_landed(
+    spark: SparkSession, landing: str, table: str, as_of: dt.date | None = None
+) -> DataFrame:
+    """The newest response of every key; a JSON array gives one row per element.
+
+    Which files these are follows from their paths and times, so older ones are listed, not counted.
+    """
+    path = f"{landing}/{table}"
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    rows = spark.read.schema(landed_schema(table)).option("multiLine", True).json(path)
     return (
-        spark.read.schema(landed_schema(table))
-        .option("multiLine", True)
-        .json(f"{landing}/{table}")
+        rows.withColumn("_file", F.col("_metadata.file_path"))
+        .join(newest_files(stamped_files(listed), table, as_of), "_file", "left_semi")
+        .drop("_file", "fetched_on")
     )
 
 
@@ -83,11 +121,11 @@ def flatten_matches(raw: DataFrame) -> DataFrame:
     )
 
 
-def short_sides(matches: DataFrame) -> DataFrame:
+def short_sides(matches: DataFrame, keys: Sequence[str] = ("event_key",)) -> DataFrame:
     """Number of matches per event in which a side has fewer than three robots."""
     sides = [f"{c}_{i}_key" for c in ("red", "blue") for i in (1, 2, 3)]
     gap = F.array_contains(F.transform(F.array(*sides), lambda k: k.isNull()), True)
-    return matches.groupBy("event_key").agg(F.count_if(gap).alias("short_matches"))
+    return matches.groupBy(*keys).agg(F.count_if(gap).alias("short_matches"))
 
 
 def flatten_alliances(raw: DataFrame) -> DataFrame:
@@ -164,10 +202,6 @@ def first_source(sources: Sequence[DataFrame]) -> DataFrame:
     return tagged.join(best, ["district_key", "_priority"]).drop("_priority")
 
 
-def districts_without_rankings(events: DataFrame, rankings: DataFrame) -> DataFrame:
-    return events.select("district_key").distinct().join(rankings, "district_key", "left_anti")
-
-
 def started_only(facts: DataFrame, events: DataFrame, as_of: dt.date | Column) -> DataFrame:
     """Facts of events that have begun by ``as_of``."""
     day = as_of if isinstance(as_of, Column) else F.lit(as_of)
@@ -178,26 +212,27 @@ def started_only(facts: DataFrame, events: DataFrame, as_of: dt.date | Column) -
 def load_raw_tables(
     spark: SparkSession, landing: str, as_of: dt.date, paginated: bool = False
 ) -> dict[str, DataFrame]:
-    """All raw tables of a landing folder as they stood on ``as_of``."""
-    events = flatten_events(read_landed(spark, landing, "events"))
+    """All raw tables of a landing folder as they stood on ``as_of``.
+
+    A district without rankings keeps its events; the quality gate holds it back.
+    """
+    read = lambda name: read_landed(spark, landing, name, as_of)
+    events = flatten_events(read("events"))
     facts = {
         "matches": flatten_matches,
         "alliances": flatten_alliances,
         "awards": flatten_awards,
         "event_points": flatten_event_points,
     }
-    rankings = [flatten_rankings(read_landed(spark, landing, "district_rankings"))]
+    rankings = [flatten_rankings(read("district_rankings"))]
     if paginated:
-        rankings.insert(0, flatten_ranking_pages(read_landed(spark, landing, "ranking_pages")))
+        rankings.insert(0, flatten_ranking_pages(read("ranking_pages")))
     tables = {
-        name: started_only(flatten(read_landed(spark, landing, name)), events, as_of)
+        name: started_only(flatten(read(name)), events, as_of)
         for name, flatten in facts.items()
     }
-    entries = flatten_event_teams(read_landed(spark, landing, "event_teams"))
+    entries = flatten_event_teams(read("event_teams"))
     tables["events"] = events
     tables["event_teams"] = entries.join(events.select("event_key"), "event_key", "left_semi")
     tables["district_rankings"] = first_source(rankings)
-    missing = districts_without_rankings(events, tables["district_rankings"]).take(1)
-    if missing:
-        raise ValueError(f"no rankings landed for district {missing[0].district_key}")
     return tables

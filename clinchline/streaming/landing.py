@@ -1,13 +1,14 @@
-"""Incremental ingest: append the rows of newly landed responses to the raw tables."""
+"""Incremental ingest: rows of newly landed responses replace those of the same key."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from clinchline.sources import landed
+from clinchline.sources.tables import save_table
 
 FLATTEN: dict[str, Callable[[DataFrame], DataFrame]] = {
     "events": landed.flatten_events,
@@ -20,11 +21,15 @@ FLATTEN: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
-def append_landed(
+def refresh_landed(
     spark: SparkSession, landing: str, table: str, target: str, progress: str
 ) -> StreamingQuery:
     """Process every response that has not been seen yet, then stop.
 
+    The raw table has a partition per event or district. The newest response of a key replaces
+    its partition, so a refreshed response is not counted twice, and a repeated batch changes
+    nothing. A newer response without any rows leaves the earlier rows in place.
+
     ``progress`` is a folder on shared storage that remembers which files are done; with it a
     restarted run neither repeats nor loses a response.
     """
@@ -33,10 +38,17 @@ def append_landed(
         .option("multiLine", True)
         .json(f"{landing}/{table}")
     )
+    key = "district_key" if table in ("events", "district_rankings") else "event_key"
+
+    def replace(batch: DataFrame, _: int) -> None:
+        seen = landed.stamped_files(batch).distinct()
+        rows = batch.withColumn("_file", F.col("_metadata.file_path"))
+        newest = rows.join(landed.newest_files(seen, table), "_file", "left_semi")
+        save_table(FLATTEN[table](newest), f"{target}/{table}", [key])
+
     return (
-        FLATTEN[table](files)
-        .writeStream.format("parquet")
-        .option("path", f"{target}/{table}")
+        files.select("*", "_metadata")
+        .writeStream.foreachBatch(replace)
         .option("checkpointLocation", f"{progress}/{table}")
         .trigger(availableNow=True)
         .start()

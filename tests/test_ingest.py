@@ -6,7 +6,7 @@ import pytest
 from clinchline.plans.formats import FORMATS
 from clinchline import fixed_values as fv
 from clinchline.sources import landed, lookups, tables
-from clinchline.streaming.landing import append_landed
+from clinchline.streaming.landing import refresh_landed
 
 from tests.conftest import as_dict
 
@@ -108,19 +108,44 @@ def test_pages_win_over_the_plain_rankings_where_they_exist(spark, landing):
     assert {tuple(r) for r in request.collect()} == {(2026, "AA"), (2026, "BB")}
 
 
-def test_a_district_without_rankings_fails(spark, landing):
+def test_a_district_without_rankings_stays(spark, landing):
     events = [{"key": "2026cc1", "short_name": "One", "event_type_string": "District",
                "start_date": "2026-03-01", "end_date": "2026-03-03"}]
     land(landing, "events", "district_key", "2026cc", events)
-    with pytest.raises(ValueError, match="2026cc"):
-        landed.load_raw_tables(spark, str(landing), dt.date(2026, 3, 15))
+    found = landed.load_raw_tables(spark, str(landing), dt.date(2026, 3, 15))
+    assert {r.district_key for r in found["events"].collect()} == {"2026aa", "2026bb", "2026cc"}
+    assert {r.district_key for r in found["district_rankings"].collect()} == {"2026aa", "2026bb"}
+
+
+def points(**totals):
+    rest = {"qual_points": 1, "alliance_points": 0, "elim_points": 0, "award_points": 0}
+    return {"points": {team: {"total": n, **rest} for team, n in totals.items()}}
+
+
+def test_the_newest_response_of_a_key_counts(spark, tmp_path):
+    for day, n in (("2026-03-01", 5), ("2026-03-08", 9), ("2026-03-15", 12)):
+        land(tmp_path / "event_points", "event_key=2026aa1", "fetched_on", day, points(frc1=n))
+    land(tmp_path / "event_points", "event_key=2026aa2", "fetched_on", "2026-03-01", points(frc1=1))
+    land(tmp_path / "event_points", "event_key=2026aa2", "fetched_on", "2026-03-02", {"points": None})
+
+    def read(day):
+        rows = landed.read_landed(spark, str(tmp_path), "event_points", day)
+        return as_dict(landed.flatten_event_points(rows), ["event_key", "team_key"], "points")
+
+    assert read(None) == {("2026aa1", "frc1"): 12}
+    assert read(dt.date(2026, 3, 10)) == {("2026aa1", "frc1"): 9}
+    assert read(dt.date(2026, 3, 1)) == {("2026aa1", "frc1"): 5, ("2026aa2", "frc1"): 1}
+    land(tmp_path, "event_teams", "event_key", "2026aa1", [{"key": "frc1"}, {"key": "frc2"}])
+    land(tmp_path, "event_teams", "event_key", "2026aa1", [{"key": "frc3"}], "2")
+    again = landed.flatten_event_teams(landed.read_landed(spark, str(tmp_path), "event_teams"))
+    assert [r.team_key for r in again.collect()] == ["frc3"]
 
 
 def test_incremental_ingest_reads_each_response_once(spark, landing, tmp_path):
     target, progress = str(tmp_path / "raw"), str(tmp_path / "progress")
 
     def run():
-        append_landed(spark, str(landing), "event_points", target, progress).awaitTermination(60)
+        refresh_landed(spark, str(landing), "event_points", target, progress).awaitTermination(60)
         return spark.read.parquet(f"{target}/event_points")
 
     assert run().count() == 4
@@ -129,6 +154,9 @@ def test_incremental_ingest_reads_each_response_once(spark, landing, tmp_path):
     land(landing, "event_points", "event_key", "2026dd1", body)
     assert run().count() == 5
     assert run().count() == 5
+    land(landing, "event_points", "event_key", "2026aa1", points(frc1=9), "2")
+    assert as_dict(run().where("event_key = '2026aa1'"), "team_key", "points") == {"frc1": 9}
+    assert run().count() == 5
 
 
 def test_saving_again_replaces_only_the_same_partitions(spark, tmp_path):
