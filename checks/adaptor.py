@@ -19,7 +19,6 @@ from clinchline.plans.stages import Stages
 from clinchline.sources import lookups
 from clinchline.sources.inputs import SeasonInputs
 
-BASE_TABLES = ["lineitem", "orders", "customer", "supplier", "nation", "region", "part", "events"]
 TEAMS = 60
 
 # event code, kind (D district event, C championship, V division, F finals of divisions)

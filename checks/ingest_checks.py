@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -10,7 +11,8 @@ from checks.domain import open_run
 from checks.domain_oracle import oracle
 from clinchline import schemas
 from clinchline.functions.columns import column_from
-from clinchline.sources import landed, lookups
+from clinchline.plans.stages import new_folder
+from clinchline.sources import landed, lookups, tables
 
 C = F.col
 _ENTRIES: dict[str, tuple[Callable, str]] = {}
@@ -171,10 +173,95 @@ def _s13(run):
         "dcmp_directional_labels",
         F.when(C("dcmp_directional_labels"), "1").otherwise(F.lit(None).cast("string")),
     )
-    fields = [f.split()[0] for f in schemas.DISTRICT_LOOKUP_CSV.split(", ")]
-    lines = text.select(F.to_csv(F.struct(*[C(f).cast("string").alias(f) for f in fields])).alias("line"))
-    parsed = lines.select(F.from_csv("line", schemas.DISTRICT_LOOKUP_CSV).alias("landed_row")).select("landed_row.*")
-    return lookups.typed_district_lookup(parsed)
+    return lookups.typed_district_lookup(_from_csv_lines(text, schemas.DISTRICT_LOOKUP_CSV))
+
+
+def _from_csv_lines(rows: DataFrame, schema: str) -> DataFrame:
+    """Turn rows into CSV lines and parse them as the lookup files are parsed."""
+    fields = [f.split()[0] for f in schema.split(", ")]
+    lines = rows.select(F.to_csv(F.struct(*[C(f).cast("string").alias(f) for f in fields])).alias("line"))
+    return lines.select(F.from_csv("line", schema, {"mode": "FAILFAST"}).alias("landed_row")).select("landed_row.*")
+
+
+@_entry(
+    "s12_qual_points",
+    """SELECT q.event_size, q.team_rank, q.qual_points FROM qual_points_lookup q JOIN (
+         SELECT event_key, COUNT(*) AS teams FROM event_teams GROUP BY 1) e ON e.teams = q.event_size""",
+)
+def _s12(run):
+    sizes = run.inputs.event_teams.groupBy("event_key").agg(F.count(F.lit(1)).cast("int").alias("event_size"))
+    return _from_csv_lines(run.inputs.qual_points, schemas.QUAL_POINTS).join(sizes, "event_size").drop("event_key")
+
+
+@_entry("s14_points_adjustments", "SELECT * FROM points_adjustments")
+def _s14(run):
+    return _from_csv_lines(run.inputs.points_adjustments, schemas.POINTS_ADJUSTMENTS)
+
+
+@_entry("s15_prequalified_teams", "SELECT * FROM prequalified_teams")
+def _s15(run):
+    return _from_csv_lines(run.inputs.prequalified_teams, schemas.PREQUALIFIED_TEAMS)
+
+
+@_entry("s16_region_lookup", "SELECT * FROM region_lookup")
+def _s16(run):
+    return _from_csv_lines(run.inputs.region_lookup, schemas.REGION_LOOKUP)
+
+
+#: name, tables of ``SeasonInputs`` and of the check SQL, layout of the file
+_LOOKUPS = [
+    ("qual_points", "qual_points_lookup", schemas.QUAL_POINTS),
+    ("district_lookup", "district_lookup", schemas.DISTRICT_LOOKUP_CSV),
+    ("points_adjustments", "points_adjustments", schemas.POINTS_ADJUSTMENTS),
+    ("prequalified_teams", "prequalified_teams", schemas.PREQUALIFIED_TEAMS),
+    ("region_lookup", "region_lookup", schemas.REGION_LOOKUP),
+]
+
+
+@_entry(
+    "s17_lookups",
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS lookup, COUNT(*) AS n, COUNT(DISTINCT {schema.split()[0]}) AS first_keys FROM {table}"
+        for name, table, schema in _LOOKUPS
+    ),
+)
+def _s17(run):
+    counts = [
+        _from_csv_lines(getattr(run.inputs, name), schema).agg(
+            F.lit(name).alias("lookup"),
+            F.count(F.lit(1)).alias("n"),
+            F.count_distinct(schema.split()[0]).alias("first_keys"),
+        )
+        for name, _, schema in _LOOKUPS
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+@_entry(
+    "s11_replace_districts",
+    """SELECT e.district_key, p.event_key, p.team_key, p.points
+       FROM event_points p JOIN events e ON e.event_key = p.event_key""",
+)
+def _s11(run):
+    # two runs into one folder, the second repeated: each replaces only the districts it holds
+    spark, folder = run.spark, new_folder(run.spark)
+    owners = run.inputs.events.select("district_key", "event_key").distinct()
+    odd = column_from("district_key", 6).cast("int") % 2 == 1
+    points = run.inputs.event_points.select("event_key", "team_key", "points").join(owners, "event_key")
+    for part in (points.where(odd), points.where(~odd), points.where(~odd)):
+        tables.write_tables({"event_points": part}, folder, run.fmt)
+    return spark.read.parquet(f"{folder}/event_points")
+
+
+@_entry(
+    "s19_report_sink",
+    """SELECT district_key, team_key, rank, points FROM district_rankings""",
+)
+def _s19(run):
+    folder = new_folder(run.spark)
+    report = run.inputs.district_rankings.select("district_key", "team_key", "rank", "points")
+    tables.write_reports({"rankings": report}, folder, run.fmt)
+    return run.spark.read.parquet(f"{folder}/rankings")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -18,6 +18,7 @@ from clinchline.functions.columns import (
     total_if,
 )
 from clinchline.functions.ranking import Piece, first_per_key, rank_block, spread_row_number
+from clinchline.plans.stages import Stages
 
 C = F.col
 Tables = Callable[[str], DataFrame]
@@ -44,6 +45,11 @@ def _qty():
     return C("l_quantity").cast("int")
 
 
+def _stage(rows: DataFrame) -> DataFrame:
+    """Rows that are read more than once, evaluated once."""
+    return Stages(rows.sparkSession).keep(rows)
+
+
 # ---- scalar functions ----------------------------------------------------------------------
 
 
@@ -445,12 +451,14 @@ def _j6(t):
 )
 def _j7(t):
     # leaders meet their followers by blocks of places, so a large nation is many join keys
-    ranked = spread_row_number(
-        t("supplier").select("s_nationkey", "s_suppkey", "s_acctbal"),
-        ["s_nationkey"],
-        [Piece(F.floor(C("s_acctbal") / 100), descending=True)],
-        [C("s_acctbal").desc(), C("s_suppkey").asc()],
-        "place",
+    ranked = _stage(
+        spread_row_number(
+            t("supplier").select("s_nationkey", "s_suppkey", "s_acctbal"),
+            ["s_nationkey"],
+            [Piece(F.floor(C("s_acctbal") / 100), descending=True)],
+            [C("s_acctbal").desc(), C("s_suppkey").asc()],
+            "place",
+        )
     )
     leaders = ranked.where(C("place") <= 3).select("s_nationkey", "s_suppkey", "place")
     sizes = ranked.groupBy("s_nationkey").agg(F.max("place").alias("last"))
@@ -747,7 +755,7 @@ def _w2(t):
     # coarse steps of the total split a large nation into many small windows
     step = F.floor(C("total") / 100000)
     return spread_row_number(
-        rows,
+        _stage(rows),
         ["c_nationkey"],
         [Piece(step, descending=True)],
         [C("total").desc(), C("c_custkey").asc()],
@@ -766,7 +774,7 @@ def _w3(t):
     out = t("lineitem").where("l_quantity = 50 AND l_discount = 0 AND l_linenumber = 7")
     left = t("supplier").join(out, C("s_suppkey") == C("l_suppkey"), "left_anti")
     return spread_row_number(
-        left.select("s_nationkey", "s_suppkey"),
+        _stage(left.select("s_nationkey", "s_suppkey")),
         ["s_nationkey"],
         [Piece(rank_block("s_suppkey"))],
         [C("s_suppkey").asc()],

@@ -158,17 +158,41 @@ def _first_passers(pairs: DataFrame, fmt: Format) -> DataFrame:
     )
 
 
+def _deciding_followers(followers: DataFrame, to_pass: DataFrame, fmt: Format) -> DataFrame:
+    """The followers that can be among the first ``teams_to_pass`` passers of some leader.
+
+    Whoever ranks better and can reach as many points passes the same leaders, unless it is
+    one of them or above. With ``spots`` places in the race, only the first ``spots`` + 1 teams
+    of each best possible total can count, however many teams there are. They are cut inside the
+    blocks the join needs anyway, which costs no further exchange of the followers.
+    """
+    # place + teams_to_pass - 1 is the number of places, the same for all teams of a race
+    spots = to_pass.groupBy(*fmt.district).agg(
+        F.max(F.col("teams_to_pass") + F.col("active_team_rank") - 1).alias("_spots")
+    )
+    equal = Window.partitionBy(*fmt.district, "_block", "following_team_max_possible_points")
+    return (
+        followers.join(spots, fmt.district)
+        .repartition(*fmt.district, "_block")
+        .withColumn("_equal", F.row_number().over(equal.orderBy("following_team_rank")))
+        .where(F.col("_equal") <= F.col("_spots") + 1)
+        .drop("_equal", "_spots")
+    )
+
+
 def pass_summary(
     open_ranks: DataFrame, to_pass: DataFrame, fmt: Format, reach: Reach
 ) -> DataFrame:
     """Per leader with anyone below: passers that count, the points they need, the last one.
 
-    Same result as summing the follower table, without building it.
+    Same result as summing the follower table, without building it: a leader meets at most
+    ``spots`` + 1 followers for each best possible total of a block.
     """
     followers = _followers(open_ranks, fmt, reach)
     leaders = _leaders(to_pass, followers, fmt)
+    deciding = _deciding_followers(followers, to_pass, fmt)
     first = (
-        _first_passers(_pairs(leaders, followers, fmt), fmt)
+        _first_passers(_pairs(leaders, deciding, fmt), fmt)
         .groupBy(*fmt.team)
         .agg(
             F.count(F.lit(1)).cast("int").alias("passers"),

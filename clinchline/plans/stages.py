@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.storagelevel import StorageLevel
 
 
+def new_folder(spark: SparkSession) -> str:
+    """A new folder that all executors see; a local one only where the cluster names none (tests)."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    return f"{shared.rstrip('/')}/tables-{uuid.uuid4()}" if shared else f"file://{tempfile.mkdtemp(prefix='tables-')}"
+
+
 class Stages:
     """Keeps shared intermediate results.
 
