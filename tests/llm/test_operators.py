@@ -5,6 +5,7 @@ import base64
 import hashlib
 import random
 import re
+import unicodedata
 import zlib
 
 import numpy as np
@@ -299,6 +300,31 @@ def test_contaminated_documents(spark, docs, empty):
     assert decontamination.contaminated(docs, none).count() == 0
 
 
+def test_contaminated_documents_in_any_case_and_unicode_form(spark):
+    items = [
+        (1, "Ñora la niña corazón mañana está aquí árbol único.", "Señor ñandú."),
+        (2, "Élève français déjà été où œuvre hôtel noël garçon.", "Été reçu."),
+        (3, "Über die Straße führen größere Äste schöner Bäume hinüber.", "Grüße Öl."),
+    ]
+    table = spark.createDataFrame(items, "item_id long, question string, answer string")
+    copies = [
+        str.upper,
+        lambda t: unicodedata.normalize("NFD", t.upper()),
+        lambda t: t.replace(" ", "\u00a0"),
+        lambda t: " ".join(f"«{w.strip('.')}»," for w in t.split()),
+    ]
+    rows = [(10 * i + k, f"x y {copy(q + ' ' + a)} z") for i, q, a in items for k, copy in enumerate(copies)]
+    found = decontamination.contaminated(spark.createDataFrame([*rows, (0, "x y z")], "doc_id long, text string"), table)
+    assert sorted((r.doc_id, r.item_id) for r in found.collect()) == [(10 * i + k, i) for i in (1, 2, 3) for k in range(4)]
+
+
+def test_normalised_keeps_words_of_punctuation_and_inner_marks():
+    n = decontamination.normalised
+    assert n("(¿Don't, STOP!) ... -- x+=1; \u0915\u0940").split() == ["don't", "stop", "...", "--", "x+=1", "\u0915\u0940"]
+    assert n(None) == n("") == ""
+    assert n("STRASSE").split() == n("straße").split() and n("A\u0303").split() == n("ã").split()
+
+
 def test_split_item():
     assert decontamination.split_item("Is it so? It is. Yes.") == ("Is it so? It is.", "Yes.")
     assert decontamination.split_item("One only.") == ("One only.", "")
