@@ -2,7 +2,8 @@
 
 Random strings break into many short tokens: a run of token characters whose characters per
 token stay at or below ``max_ratio`` is reported as kind ``dense``, unless it is a digest of a
-known length, a UUID or an identifier made of words and short numbers.
+known length, a UUID or an identifier made of words and short numbers. Where a whole run is none,
+stretches of its parts between separators are measured too, so readable text hides no key.
 """
 
 from __future__ import annotations
@@ -27,7 +28,15 @@ _HEX = re.compile(r"[0-9a-f]{24,}")
 _LONG_RUN = re.compile(r"[A-Za-z0-9+/_=-]+")
 _DIGESTS = re.compile(r"(?:[0-9a-fA-F]{32}|[0-9a-fA-F]{40}|[0-9a-fA-F]{56}|[0-9a-fA-F]{64}|[0-9a-fA-F]{96}|[0-9a-fA-F]{128})")
 _UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
-_NAME_PART = re.compile(r"[A-Za-z]{2,}[0-9]{0,4}|[0-9]{1,4}|[A-Za-z]")
+_KNOWN = re.compile(rf"(?<![A-Za-z0-9])(?:{_UUID.pattern}|{_DIGESTS.pattern})(?![A-Za-z0-9])")
+_PART = re.compile(r"[A-Za-z0-9]+")
+_SHORT_PART = re.compile(r"[A-Za-z]{1,3}[0-9]{0,4}|[0-9]{1,8}")
+_WORD = re.compile(r"([A-Z]?[a-z]+|[A-Z]+(?![a-z]))([0-9]{1,4}(?![0-9]))?")
+#: Characters per token above which a long word is taken for natural language, and the share of an
+#: identifier's letters and digits that lies in words.
+NATURAL_RATIO, NAME_SHARE = 2.4, 0.6
+#: Runs are encoded in stretches of so many characters.
+_ENCODED = 4096
 _MARKS = str.maketrans("", "", "_-/+=")
 
 _ENCODINGS: dict[str, object] = {}
@@ -53,12 +62,93 @@ def default_ranks() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
-def _is_name(run: str) -> bool:
-    parts = [p for p in re.split(r"[_\-/+=]+", run) if p]
-    words = [w for p in parts for w in re.findall(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+", p)]
-    return all(_NAME_PART.fullmatch(p) for p in parts) or (
-        len(words) <= 1 + len(run) // 5 and all(len(w) <= 4 for w in words if w.isdigit())
-    )
+def _tokens(run: str, encoding) -> int:
+    return sum(len(encoding.encode_ordinary(run[i : i + _ENCODED])) for i in range(0, len(run), _ENCODED))
+
+
+def _is_word(word: str, encoding) -> bool:
+    """Whether the vocabulary holds a word whole, or breaks a long one into few tokens as it does natural language."""
+    if len(word) < 3:
+        return False
+    tokens = _tokens(" " + word.lower(), encoding)
+    return tokens == 1 or (len(word) >= 8 and len(word) > NATURAL_RATIO * tokens)
+
+
+def _is_name(run: str, encoding) -> bool:
+    """Whether most of a run is words, short numbers and short parts, or it counts through the alphabet."""
+    plain = run.translate(_MARKS)
+    if 2 * sum(abs(ord(a) - ord(b)) <= 1 for a, b in zip(plain, plain[1:])) >= len(plain):
+        return True
+    covered = 0
+    for part in _PART.findall(run):
+        if _SHORT_PART.fullmatch(part):
+            covered += len(part)
+        else:
+            covered += sum(len(m[0]) for m in _WORD.finditer(part) if _is_word(m[1], encoding))
+    return covered >= NAME_SHARE * len(plain)
+
+
+def _is_dense(run: str, encoding, min_length: int, max_ratio: float) -> bool:
+    if len(run) < min_length or run.translate(_MARKS).isdigit() or _DIGESTS.fullmatch(run) or _UUID.fullmatch(run):
+        return False
+    return len(run) <= max_ratio * _tokens(run, encoding) and not _is_name(run, encoding)
+
+
+def _stretches(scores: list[float]) -> list[tuple[int, int]]:
+    """(first, last) of the maximal stretches of positive sum (Ruzzo and Tompa), in linear time."""
+    held: list[tuple[int, int, float, float]] = []  # first, last, sum before, sum after
+    closed: list[tuple[int, int]] = []
+    total = 0.0
+    for i, score in enumerate(scores):
+        first, low, total = i, total, total + score
+        if score <= 0:
+            continue
+        passed: list[tuple[int, int]] = []
+        while held and (held[-1][2] >= low or held[-1][3] < total):
+            one = held.pop()
+            if one[2] >= low:  # nothing later starts there, as it sums to more from here
+                passed.append(one[:2])
+            else:
+                first, low = one[0], one[2]
+                passed.clear()
+        closed += passed
+        held.append((first, i, low, total))
+    out: list[tuple[int, int]] = []
+    for one in sorted([*closed, *(h[:2] for h in held)], key=lambda x: (x[0], -x[1])):
+        if not out or one[0] > out[-1][1]:
+            out.append(one)
+    return out
+
+
+def _dense_spans(run: str, encoding, min_length: int, max_ratio: float) -> list[tuple[int, int]]:
+    """The run as a whole, or else the stretches of its parts that are dense; known digests and UUIDs divide it."""
+    if _is_dense(run, encoding, min_length, max_ratio):
+        return [(0, len(run))]
+    out, at = [], 0
+    for start, end in [*(m.span() for m in _KNOWN.finditer(run)), (len(run), len(run))]:
+        parts = [m.span() for m in _PART.finditer(run, at, start)]
+        at = end
+        if not parts or parts[-1][1] - parts[0][0] < min_length:
+            continue
+        scores = [
+            float(i - j) if _is_name(run[i:j], encoding) else max_ratio * _tokens(run[i:j], encoding) - (j - i)
+            for i, j in parts
+        ]
+        for first, last in _stretches(scores):
+            i, j = parts[first][0], parts[last][1]
+            if _is_dense(run[i:j], encoding, min_length, max_ratio):
+                out.append((i, j))
+    return out
+
+
+def _outside(start: int, end: int, base: list[tuple[str, int, int]]) -> list[tuple[int, int]]:
+    """What the spans of ``base``, ordered by start, leave of start .. end."""
+    out, at = [], start
+    for _, s, e in base:
+        if s < end and at < e:
+            out.append((at, s))
+            at = e
+    return [(i, j) for i, j in [*out, (at, end)] if i < j]
 
 
 def find_spans(text: str, encoding, min_length: int, max_ratio: float) -> list[tuple[str, int, int]]:
@@ -71,18 +161,19 @@ def find_spans(text: str, encoding, min_length: int, max_ratio: float) -> list[t
         found += [("access", *m.span()) for m in _ACCESS.finditer(text) if m.end() - m.start() >= 20]
     found += [("hex", *m.span()) for m in _HEX.finditer(text)]
     if any(len(w) >= min_length for w in text.split()):
-        base = list(found)
+        base = sorted(found, key=lambda x: x[1])
         for m in _LONG_RUN.finditer(text):
-            start, end = m.span()
-            if end - start < min_length or any(s < end and start < e for _, s, e in base):
-                continue
-            run = m[0]
-            if not any(c.isdigit() for c in run) or run.translate(_MARKS).isdigit():
-                continue
-            if _DIGESTS.fullmatch(run) or _UUID.fullmatch(run) or _is_name(run):
+            if m.end() - m.start() < min_length:
                 continue
-            if end - start <= max_ratio * len(encoding.encode_ordinary(run)):
-                found.append(("dense", start, end))
+            for start, end in _outside(*m.span(), base):
+                while start < end and start > m.start() and text[start] in "_-/+=":
+                    start += 1
+                while start < end < m.end() and text[end - 1] in "_-/+=":
+                    end -= 1
+                found += [
+                    ("dense", start + i, start + j)
+                    for i, j in _dense_spans(text[start:end], encoding, min_length, max_ratio)
+                ]
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0])))
 
 
@@ -98,8 +189,9 @@ def scan_secrets(
 
     Kinds ``assign``, ``access`` and ``hex`` are the leftmost non-overlapping matches of fixed
     patterns, each kind on its own; ``dense`` are runs of at least ``min_length`` token characters
-    with a digit, outside the spans of the other kinds, at or below ``max_ratio`` characters per
-    token under the ranks at ``ranks`` (by default those of the public byte-level vocabulary).
+    outside the spans of the other kinds, or stretches of their parts between separators, at or below
+    ``max_ratio`` characters per token under the ranks at ``ranks`` (by default those of the public
+    byte-level vocabulary).
 
     Whole texts are scanned. Null and empty texts have no spans; repeated rows and null ids stay
     as they are; other columns are ignored; no rows give no rows.

@@ -182,6 +182,48 @@ def test_dense_strings_are_found_and_names_and_digests_are_not():
     assert find("token=token:abcdef") == []  # the failing match is passed over whole
 
 
+def dense(text):
+    enc = secrets.rank_encoding(secrets.default_ranks())
+    return [text[s:e] for k, s, e in secrets.find_spans(text, enc, 20, 2.2) if k == "dense"]
+
+
+def test_dense_strings_without_digits_or_with_few_are_found():
+    rng = random.Random(4)
+    lower, upper = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    for letters, n in ((lower, 32), (lower + upper, 40), (upper + "234567", 20), (upper + "234567", 32), (lower + "0123456789", 40)):
+        for _ in range(50):
+            key = "".join(rng.choice(letters) for _ in range(n))
+            assert dense(f"see {key} here") == [key]
+    for clean in (
+        "Donaudampfschifffahrtsgesellschaft", "anticonstitutionnellement", "MAX_RETRY_COUNT_PER_HOST", "getElementsByTagNameNSImplementation",
+        "ctx_ptr_idx_buf_len_str_cfg", "abcdefghijklmnopqrstuvwxyz", "img_20240102_123456_001", "org/apache/spark/sql/execution/UnsafeRow",
+    ):
+        assert dense(f"see {clean} here") == []
+
+
+def test_keys_beside_other_spans_and_inside_paths_are_found():
+    secret = "wJvlrXUtnFQMIqK7MDQNGqbPxRfiCYzXzMqLzKzY"
+    assert dense(f"AKIA{'Q7' * 8}/{secret} x") == [secret]
+    path = "international/standards/department/documents/publication/information/"
+    for key in (secret, "wJvlrXUtnFQMI/K7MDQNG/bPxRfiCYzXzMqLzKzY"):
+        assert dense(f"{path}{key}/{path} x") == [key]
+    assert dense(f"{path}{hashlib.sha256(b'x').hexdigest().upper()}/{path} x") == []
+
+
+def test_stretches_are_the_maximal_ones():
+    def brute(x, at=0):
+        best = max(((sum(x[i:j]), i - j, i, j) for i in range(len(x)) for j in range(i + 1, len(x) + 1)), default=(0,))
+        if best[0] <= 0:
+            return []
+        _, _, i, j = best
+        return brute(x[:i], at) + [(at + i, at + j - 1)] + brute(x[j:], at + j)
+
+    rng = random.Random(6)
+    for _ in range(300):
+        x = [rng.uniform(-1, 1) for _ in range(rng.randrange(12))]
+        assert secrets._stretches(x) == brute(x)
+
+
 def test_redaction_changes_only_texts_with_secrets(docs, by_id):
     out = secrets.redact_secrets(docs)
     assert out.columns == docs.columns
