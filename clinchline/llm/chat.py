@@ -1,7 +1,7 @@
 """Chat formatting by schema fingerprints, with DataFrame functions only.
 
-A record is a JSON object in one of several layouts. Its nested field paths, sorted and hashed,
-are its schema fingerprint, which selects a declarative mapping to canonical turns (role, text).
+A record is a JSON object in one of several layouts. The nested field paths of all its parts, sorted
+and hashed, are its schema fingerprint, which selects a declarative mapping to canonical turns (role, text).
 Turns become one text under a template whose control strings are escaped inside roles and texts,
 reversibly, with the spans of assistant texts as loss mask.
 """
@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 OPEN, SEP, CLOSE = "### ", ": ", "</turn>\n"
 #: The role whose texts are learned.
 LEARNED = "assistant"
+#: A JSON value of so many bytes or more is no variant.
+VARIANT_BYTES = 1 << 27
 _TURNS = "array<struct<role: string, text: string>>"
 
 
@@ -64,17 +66,49 @@ LAYOUTS = (
 
 
 def field_paths(record: Column) -> Column:
-    """Sorted nested field paths of a JSON object: its fields, and those of objects and lists of objects in them."""
-    at = lambda k, item: F.call_function(
-        "get_json_object", record, F.concat(F.lit("$['"), k, F.lit("']" + item))
+    """Sorted distinct field paths of a JSON object: its fields, and those of objects and of all objects in lists in them.
+
+    What lies deeper adds its whole schema to its path, and an element of a list that is no object a path of
+    the list, so that such records have other paths than plain ones. Texts that look like JSON are texts. Null
+    for what is no JSON object, or repeats a field.
+    """
+    fields = lambda v: F.map_entries(F.try_variant_get(v, "$", "map<string,variant>"))
+
+    def deeper(v: Column) -> Column:
+        schema = F.schema_of_variant(v)
+        return F.when(schema.rlike("^(OBJECT|ARRAY)<"), F.concat(F.lit(":"), schema)).otherwise("")
+
+    none = F.array().cast("array<string>")
+
+    def inner(k: Column, v: Column) -> Column:
+        return F.transform(fields(v), lambda n: F.concat(k, F.lit("."), n["key"], deeper(n["value"])))
+
+    def other(k: Column, v: Column) -> Column:
+        return F.when(F.schema_of_variant(v) != "VOID", F.array(F.concat(k, F.lit("[]"), deeper(v)))).otherwise(none)
+
+    def nested(k: Column, v: Column) -> Column:
+        # distinct per list, so what is held of a long one are its few paths
+        items = F.transform(
+            F.try_variant_get(v, "$", "array<variant>"), lambda o: F.coalesce(inner(k, o), other(k, o))
+        )
+        return F.coalesce(F.array_distinct(F.flatten(items)), inner(k, v), none)
+
+    each = F.transform(fields(F.try_parse_json(record)), lambda e: F.concat(F.array(e["key"]), nested(e["key"], e["value"])))
+    found = F.coalesce(F.flatten(each), F.when(F.octet_length(record) >= VARIANT_BYTES, _long_paths(record)))
+    return F.array_sort(F.array_distinct(found))
+
+
+def _long_paths(record: Column) -> Column:
+    """Field paths of a record too long for a variant: fields, and those of objects and of all objects in lists in them."""
+    at = lambda k: F.call_function("get_json_object", record, F.concat(F.lit("$['"), k, F.lit("']")))
+    none = F.array().cast("array<string>")
+    inner = lambda k: F.flatten(
+        F.transform(F.from_json(at(k), "array<map<string,string>>"), lambda m: F.coalesce(F.map_keys(m), none))
     )
-    nested = lambda k: F.coalesce(F.json_object_keys(at(k, "")), F.json_object_keys(at(k, "[0]")))
-    return F.array_sort(
-        F.flatten(
-            F.transform(
-                F.json_object_keys(record),
-                lambda k: F.concat(F.array(k), F.transform(F.coalesce(nested(k), F.array().cast("array<string>")), lambda n: F.concat(k, F.lit("."), n))),
-            )
+    return F.flatten(
+        F.transform(
+            F.json_object_keys(record),
+            lambda k: F.concat(F.array(k), F.transform(F.coalesce(F.array_distinct(inner(k)), none), lambda n: F.concat(k, F.lit("."), n))),
         )
     )
 

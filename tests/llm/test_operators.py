@@ -503,6 +503,35 @@ def test_layouts_are_selected_by_fingerprint(spark):
         assert (r.formatted is None) == (want is None)
 
 
+def test_mixed_and_deeper_records_have_no_layout(spark):
+    records = [
+        ('{"messages":[{"role":"user","content":"a"},{"from":"assistant","value":"b"}]}', None),
+        ('{"messages":[{"role":"user","content":[{"type":"text","text":"a"}]}]}', None),
+        ('{"messages":[{"role":"user","content":"a"},{"role":"assistant","content":{"text":"b"}}]}', None),
+        ('{"messages":[{"role":"user","content":"a"},"b"]}', None),
+        ('{"messages":[{"role":"user","content":"a"},["b"]]}', None),
+        ('{"prompt":"p","completion":["c"]}', None),
+        ('{"prompt":"p","completion":{"x":{"y":1}}}', None),
+        ('{"messages":[{"role":"user","content":"a"},{"role":"assistant","content":5},{"role":"user","content":null}]}', [("user", "a"), ("assistant", "5"), ("user", "")]),
+        ('{"prompt":"{\\"x\\":1}","completion":"[{\\"y\\":2}]"}', [("user", '{"x":1}'), ("assistant", '[{"y":2}]')]),
+    ]
+    found = chat.canonical_turns(spark.createDataFrame([(i, r) for i, (r, _) in enumerate(records)], "i int, record string"))
+    for r in found.collect():
+        assert (r.turns and [(t.role, t.text) for t in r.turns]) == records[r.i][1]
+        assert (r.layout is None) == (records[r.i][1] is None) and r.fingerprint is not None
+
+
+def test_paths_of_long_records_see_all_list_elements(spark):
+    records = [
+        ('{"messages":[{"role":"user","content":"a"},{"role":"user","content":"b"}]}', ["messages", "messages.content", "messages.role"]),
+        ('{"messages":[{"role":"user"},{"from":"b"}]}', ["messages", "messages.from", "messages.role"]),
+        ('{"prompt":"p","completion":"c"}', ["completion", "prompt"]),
+    ]
+    table = spark.createDataFrame([(i, r) for i, (r, _) in enumerate(records)], "i int, record string")
+    for r in table.select("i", F.array_sort(chat._long_paths(F.col("record"))).alias("p")).collect():
+        assert r.p == records[r.i][1]
+
+
 def test_empty_tables(empty):
     assert near_duplicates.near_duplicates(empty).count() == 0
     assert suffix_dedup.remove_repeats(empty).count() == 0
