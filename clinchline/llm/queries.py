@@ -7,8 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clinchline.llm import chat, decontamination, fingerprints, near_duplicates, packing, quality
-from clinchline.llm import secrets, suffix_dedup, token_counts, warc
+from clinchline.llm import chat, decontamination, fill_in_middle, fingerprints, near_duplicates, nearest
+from clinchline.llm import packing, periodic_runs, quality, secrets, suffix_dedup, token_counts, warc
 from clinchline.llm.common import new_folder, partitions
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -142,9 +142,37 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    arranged = fill_in_middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    return fill_in_middle.restore(arranged).select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256"
+    )
+
+
+def op12_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, k=10)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_runs.with_repeated_tails(table(spark, sf_dir, "documents"))
+    found = periodic_runs.periodic_runs(docs).withColumn("longest", periodic_runs.longest_run(F.col("runs")))
+    line = lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "longest.start",
+        "longest.length",
+        "longest.period",
+        F.floor(1000 * F.col("longest.length") / F.col("longest.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 _QUERIES = (
     op1_chat_formatting, op2_minhash_near_dedup, op3_spotsigs, op4_warc_writer, op5_quality_classifier,
     op6_token_counts, op7_benchmark_decontamination, op8_suffix_dedup, op9_mixture_packing, op10_secret_scan,
+    op11_fill_in_middle, op12_multi_index_hashing, op13_periodic_runs,
 )
 
 
@@ -234,10 +262,31 @@ FROM raw LEFT JOIN kept ON kept.doc_id = raw.doc_id
 """
 
 
+_OP11 = r"""
+WITH hashed AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || CAST(doc_id AS VARCHAR)) AS h FROM documents),
+numbers AS (
+  SELECT doc_id, t, CAST(length(t) AS BIGINT) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+    CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4 FROM hashed),
+cuts AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+      WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM numbers),
+parts AS (
+  SELECT *, substring(t, 1, a) AS p, substring(t, a + 1, b - a) AS m, substring(t, b + 1, n - b) AS s FROM cuts)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+    ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM parts
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_chat_formatting": _OP1,
         "op2_minhash_near_dedup": _OP2,
         "op4_warc_writer": _OP4,
         "op8_suffix_dedup": _OP8,
+        "op11_fill_in_middle": _OP11,
     }
