@@ -4,9 +4,10 @@ Each API response is landed unchanged as one JSON file, below folders that name
 was asked for: ``<landing>/<table>/district_key=.../...json`` for district responses and
 ``<landing>/<table>/event_key=.../...json`` for event responses. A key may be fetched again: a
 folder ``fetched_on=<date>`` below the key (in all of a table or in none) dates the response,
-and the newest response of each key counts. All files of a table are read in one distributed
-scan with an explicit schema. The ``flatten_*`` functions are plain
-DataFrame transformations, so they serve batch and streaming reads alike.
+and the newest response of each key counts. A paged response is a fetch of several files, one a
+page, and counts once all its pages are there. All files of a table are read in one distributed
+scan with an explicit schema. The ``flatten_*`` functions are plain DataFrame transformations, so
+they serve batch and streaming reads alike; a column ``as_of`` is carried through.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from clinchline import fixed_values as fv, schemas
 from clinchline.functions.columns import column_from
@@ -48,44 +49,143 @@ def stamped_files(rows: DataFrame) -> DataFrame:
     )
 
 
-def newest_files(files: DataFrame, table: str, as_of: dt.date | None = None) -> DataFrame:
-    """The files of each key's newest response, of those fetched by ``as_of``.
+def responses(files: DataFrame, table: str) -> DataFrame:
+    """Each file with its key and what orders the responses of a key: day, time, path.
 
-    The newest has the latest ``fetched_on``, then the latest modification time, then the last
-    path; a paged response is all files of its latest date. Undated files are older than dated ones.
+    Undated files have an empty day, which is older than any.
     """
     part = lambda name: F.regexp_extract("_file", f"/{name}=([^/]+)/", 1)
     key = _LANDED[table][1].split()[0]
-    stamped = files.select("_file", "_landed", part(key).alias("_key"), part("fetched_on").alias("_day"))
+    return files.select("_file", "_landed", part(key).alias("_key"), part("fetched_on").alias("_day"))
+
+
+def newest_files(files: DataFrame, table: str, as_of: dt.date | None = None) -> DataFrame:
+    """The file of each key's newest response, of those fetched by ``as_of``.
+
+    The newest has the latest ``fetched_on``, then the latest modification time, then the last path.
+    """
+    stamped = responses(files, table)
     if as_of is not None:
-        stamped = stamped.where(F.col("_day") <= as_of.isoformat())
+        stamped = stamped.where(F.substring("_day", 1, 10) <= as_of.isoformat())
     best = stamped.groupBy("_key").agg(F.max(F.struct("_day", "_landed", "_file")).alias("_best"))
-    if table in _PAGED:
-        return stamped.join(best.select("_key", "_best._day"), ["_key", "_day"]).select("_file")
     return best.select("_best._file")
 
 
+def _valid_on(newest: DataFrame, days: Sequence[dt.date]) -> DataFrame:
+    """The wanted days on which each response counts, from its day up to the key's next one.
+
+    ``newest`` has one response per key and day. A response is repeated once per wanted day, which is
+    what the result holds; only days are compared, not pairs of responses.
+    """
+    following = F.lead("_day").over(Window.partitionBy("_key").orderBy("_day"))
+    wanted = F.array(*[F.lit(d) for d in sorted(set(days))])
+    label = lambda d: F.date_format(d, "yyyy-MM-dd")
+    counts = lambda d: (label(d) >= F.col("_day")) & (F.col("_next").isNull() | (label(d) < F.col("_next")))
+    # a response fetched at a time of a day counts on that day as a whole
+    dated = newest.withColumn("_day", F.substring("_day", 1, 10))
+    last = dated.groupBy("_key", "_day").agg(F.max_by("_best", "_order").alias("_best"))
+    return (
+        last.withColumn("_next", following)
+        .withColumn("as_of", F.explode(F.filter(wanted, counts)))
+        .select("_best", "as_of")
+    )
+
+
+def files_on(files: DataFrame, table: str, days: Sequence[dt.date]) -> DataFrame:
+    """(_file, as_of): the newest response of each key on each wanted day."""
+    newest = (
+        responses(files, table)
+        .groupBy("_key", "_day")
+        .agg(F.max(F.struct("_day", "_landed", "_file")).alias("_order"))
+        .withColumn("_best", F.col("_order._file"))
+    )
+    return _valid_on(newest, days).select(F.col("_best").alias("_file"), "as_of")
+
+
+def ranking_fetches(pages: DataFrame) -> DataFrame:
+    """Fetches of paged rankings: how many pages they have, how many they should, and their files.
+
+    ``pages``: rows of the paged table with ``_file`` and ``_landed``. Files belong to one fetch if they
+    share the key, the day, the folder ``fetch=<id>`` where there is one, and their name up to its
+    trailing number, which is the page (1 without a number). Of a page landed twice the newest file counts. A fetch
+    is complete if it has all pages from 1 to the largest ``pageTotal`` that one of them names.
+    """
+    name = F.regexp_extract("_file", r"([^/]*?)(\d*)\.[^./]*$", 1)
+    number = F.regexp_extract("_file", r"(\d*)\.[^./]*$", 1)
+    fetch = F.regexp_extract("_file", "/fetch=([^/]+)/", 1)
+    # a file that does not parse has neither field: its page has not landed
+    landed_pages = pages.where(F.col("pageTotal").isNotNull() | F.col("districtRanks").isNotNull())
+    files = (
+        responses(pages.select("_file", "_landed"), "ranking_pages")
+        .join(landed_pages.groupBy("_file").agg(F.max("pageTotal").alias("_total")), "_file")
+        .withColumn("_fetch", F.concat_ws("/", fetch, name))
+        .withColumn("_page", F.when(number == "", 1).otherwise(number.cast("int")))
+    )
+    of_fetch = ["_key", "_day", "_fetch"]
+    single = files.groupBy(*of_fetch, "_page").agg(
+        F.max(F.struct("_landed", "_file", "_total")).alias("_newest")
+    )
+    sets = single.groupBy(*of_fetch).agg(
+        F.max("_newest._landed").alias("_landed"),
+        F.greatest(F.max("_newest._total"), F.lit(1)).alias("page_total"),
+        F.collect_set("_page").alias("_pages"),
+        F.collect_list("_newest._file").alias("_files"),
+    )
+    present = F.size(F.filter("_pages", lambda p: (p >= 1) & (p <= F.col("page_total"))))
+    return sets.withColumn("pages", present).withColumn("complete", present == F.col("page_total"))
+
+
+def _complete_files(pages: DataFrame, as_of: dt.date | None, days: Sequence[dt.date] | None) -> DataFrame:
+    """Files of the newest complete fetch of each key (on each wanted day)."""
+    complete = ranking_fetches(pages).where("complete")
+    if as_of is not None:
+        complete = complete.where(F.substring("_day", 1, 10) <= as_of.isoformat())
+    order = F.struct("_day", "_landed", "_fetch")
+    if days is None:
+        best = complete.groupBy("_key").agg(F.max_by("_files", order).alias("_best"))
+        return best.select(F.explode("_best").alias("_file"))
+    newest = complete.groupBy("_key", "_day").agg(F.max_by("_files", order).alias("_best"), F.max(order).alias("_order"))
+    return _valid_on(newest, days).select(F.explode("_best").alias("_file"), "as_of")
+
+
 def read_landed(
-    spark: SparkSession, landing: str, table: str, as_of: dt.date | None = None
+    spark: SparkSession, landing: str, table: str, as_of: dt.date | Sequence[dt.date] | None = None
 ) -> DataFrame:
     """The newest response of every key; a JSON array gives one row per element.
 
-    Which files these are follows from their paths and times, so older ones are listed, not counted.
+    Which files these are follows from their paths and times (and, of pages, from the number of
+    pages they name), so older ones are listed, not counted. With several days the result has a
+    column ``as_of``: the responses as they stood on each, in one scan.
     """
     path = f"{landing}/{table}"
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    rows = spark.read.schema(landed_schema(table)).option("multiLine", True).json(path)
-    return (
-        rows.withColumn("_file", F.col("_metadata.file_path"))
-        .join(newest_files(stamped_files(listed), table, as_of), "_file", "left_semi")
-        .drop("_file", "fetched_on")
+    days = None if as_of is None or isinstance(as_of, dt.date) else list(as_of)
+    day = as_of if days is None else None
+    rows = (
+        spark.read.schema(landed_schema(table))
+        .option("multiLine", True)
+        .json(path)
+        .withColumn("_file", F.col("_metadata.file_path"))
     )
+    if table in _PAGED:
+        pages = rows.withColumn("_landed", F.col("_metadata.file_modification_time"))
+        files = _complete_files(pages, day, days)
+    else:
+        listed = stamped_files(spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path))
+        files = newest_files(listed, table, day) if days is None else files_on(listed, table, days)
+    kept = rows.join(files, "_file", "left_semi" if days is None else "inner")
+    return kept.drop("_file", "fetched_on", "fetch")
+
+
+def _scope(raw: DataFrame) -> list[str]:
+    """Key columns that are carried along with every row: the day, and in the ingest the response's key."""
+    return [c for c in ("as_of", "response_key") if c in raw.columns]
 
 
 def flatten_events(
     raw: DataFrame, excluded: Sequence[str] = tuple(fv.EXCLUDED_EVENTS)
 ) -> DataFrame:
     return raw.where(F.col("key").isNotNull() & ~F.col("key").isin(*excluded)).select(
+        *_scope(raw),
         "district_key",
         F.col("key").alias("event_key"),
         F.col("short_name").alias("name"),
@@ -97,7 +197,7 @@ def flatten_events(
 
 def flatten_event_teams(raw: DataFrame) -> DataFrame:
     return raw.where(F.col("key").isNotNull()).select(
-        "event_key", F.col("key").alias("team_key")
+        *_scope(raw), "event_key", F.col("key").alias("team_key")
     )
 
 
@@ -109,6 +209,7 @@ def _robots(color: str) -> list[Column]:
 def flatten_matches(raw: DataFrame) -> DataFrame:
     """Matches with three robots a side; missing ones are null (see ``short_sides``)."""
     return raw.where(F.col("key").isNotNull()).select(
+        *_scope(raw),
         F.col("key").alias("match_key"),
         "event_key",
         "comp_level",
@@ -133,6 +234,7 @@ def flatten_alliances(raw: DataFrame) -> DataFrame:
     picks = F.col("picks")
     seats = ["captain_key", "first_selection_key", "second_selection_key", "backup_key"]
     return raw.where(picks.isNotNull()).select(
+        *_scope(raw),
         "event_key",
         F.col("name").alias("alliance_name"),
         *[F.get(picks, F.lit(i)).alias(s) for i, s in enumerate(seats)],
@@ -142,14 +244,15 @@ def flatten_alliances(raw: DataFrame) -> DataFrame:
 def flatten_awards(raw: DataFrame) -> DataFrame:
     """One row per recipient; awards without recipients disappear."""
     return raw.select(
-        "event_key", "award_type", F.explode("recipient_list").alias("recipient")
-    ).select("event_key", "award_type", F.col("recipient.team_key").alias("team_key"))
+        *_scope(raw), "event_key", "award_type", F.explode("recipient_list").alias("recipient")
+    ).select(*_scope(raw), "event_key", "award_type", F.col("recipient.team_key").alias("team_key"))
 
 
 def flatten_event_points(raw: DataFrame) -> DataFrame:
     """The response is one object keyed by team, or null."""
-    rows = raw.select("event_key", F.explode("points").alias("team_key", "p"))
+    rows = raw.select(*_scope(raw), "event_key", F.explode("points").alias("team_key", "p"))
     return rows.select(
+        *_scope(raw),
         "event_key",
         "team_key",
         F.col("p.total").alias("points"),
@@ -162,6 +265,7 @@ def flatten_event_points(raw: DataFrame) -> DataFrame:
 
 def flatten_rankings(raw: DataFrame) -> DataFrame:
     return raw.where(F.col("team_key").isNotNull()).select(
+        *_scope(raw),
         "district_key",
         "team_key",
         "rank",
@@ -172,8 +276,9 @@ def flatten_rankings(raw: DataFrame) -> DataFrame:
 
 def flatten_ranking_pages(raw: DataFrame) -> DataFrame:
     """The paginated form of the rankings: teams by number, missing age points are 0."""
-    rows = raw.select("district_key", F.explode("districtRanks").alias("r"))
+    rows = raw.select(*_scope(raw), "district_key", F.explode("districtRanks").alias("r"))
     return rows.select(
+        *_scope(raw),
         "district_key",
         F.concat(F.lit(fv.TEAM_KEY_PREFIX), F.col("r.teamNumber").cast("string")).alias(
             "team_key"
@@ -193,30 +298,34 @@ def page_request(district_key: Column) -> list[Column]:
 
 
 def first_source(sources: Sequence[DataFrame]) -> DataFrame:
-    """Per district, the rows of the first source that has any."""
+    """Per district (and day), the rows of the first source that has any."""
     tagged = None
     for priority, source in enumerate(sources):
         rows = source.withColumn("_priority", F.lit(priority))
         tagged = rows if tagged is None else tagged.unionByName(rows)
-    best = tagged.groupBy("district_key").agg(F.min("_priority").alias("_priority"))
-    return tagged.join(best, ["district_key", "_priority"]).drop("_priority")
+    keys = [*_scope(tagged), "district_key"]
+    best = tagged.groupBy(*keys).agg(F.min("_priority").alias("_priority"))
+    return tagged.join(best, [*keys, "_priority"]).drop("_priority")
 
 
-def started_only(facts: DataFrame, events: DataFrame, as_of: dt.date | Column) -> DataFrame:
-    """Facts of events that have begun by ``as_of``."""
-    day = as_of if isinstance(as_of, Column) else F.lit(as_of)
-    begun = events.where(F.col("start_date") <= day).select("event_key")
-    return facts.join(begun, "event_key", "left_semi")
+def started_only(facts: DataFrame, events: DataFrame, as_of: dt.date | Column | None = None) -> DataFrame:
+    """Facts of events that have begun by ``as_of``, or else by the day in their own column ``as_of``."""
+    keys = [*(_scope(facts) if as_of is None else []), "event_key"]
+    day = F.col("as_of") if as_of is None else as_of if isinstance(as_of, Column) else F.lit(as_of)
+    begun = events.where(F.col("start_date") <= day).select(*keys)
+    return facts.join(begun, keys, "left_semi")
 
 
 def load_raw_tables(
-    spark: SparkSession, landing: str, as_of: dt.date, paginated: bool = False
+    spark: SparkSession, landing: str, as_of: dt.date | Sequence[dt.date], paginated: bool = False
 ) -> dict[str, DataFrame]:
     """All raw tables of a landing folder as they stood on ``as_of``.
 
-    A district without rankings keeps its events; the quality gate holds it back.
+    With several days every table has a column ``as_of``, and a format ``with_scope("as_of")`` runs all
+    snapshots as one job. A district without rankings keeps its events; the quality gate holds it back.
     """
     read = lambda name: read_landed(spark, landing, name, as_of)
+    day = as_of if isinstance(as_of, dt.date) else None
     events = flatten_events(read("events"))
     facts = {
         "matches": flatten_matches,
@@ -228,11 +337,12 @@ def load_raw_tables(
     if paginated:
         rankings.insert(0, flatten_ranking_pages(read("ranking_pages")))
     tables = {
-        name: started_only(flatten(read(name)), events, as_of)
+        name: started_only(flatten(read(name)), events, day)
         for name, flatten in facts.items()
     }
     entries = flatten_event_teams(read("event_teams"))
+    known = [*_scope(events), "event_key"]
     tables["events"] = events
-    tables["event_teams"] = entries.join(events.select("event_key"), "event_key", "left_semi")
+    tables["event_teams"] = entries.join(events.select(*known), known, "left_semi")
     tables["district_rankings"] = first_source(rankings)
     return tables

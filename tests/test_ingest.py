@@ -2,11 +2,12 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from clinchline.plans.formats import FORMATS
 from clinchline import fixed_values as fv
 from clinchline.sources import landed, lookups, tables
-from clinchline.streaming.landing import refresh_landed
+from clinchline.streaming.landing import read_ingested, refresh_landed
 
 from tests.conftest import as_dict
 
@@ -146,7 +147,7 @@ def test_incremental_ingest_reads_each_response_once(spark, landing, tmp_path):
 
     def run():
         refresh_landed(spark, str(landing), "event_points", target, progress).awaitTermination(60)
-        return spark.read.parquet(f"{target}/event_points")
+        return read_ingested(spark, target, "event_points")
 
     assert run().count() == 4
     body = {"points": {"frc9": {"total": 1, "qual_points": 1, "alliance_points": 0,
@@ -223,3 +224,158 @@ def test_keys_and_counts_are_not_cut(spark):
         percent_label(F.lit(10**11), F.lit(4 * 10**11)).alias("share"),
     ).first()
     assert (row.key, row.share) == ("1" * 80, "25.0%")
+
+
+def ingest_of(spark, landing, target, progress, table="event_points"):
+    def run():
+        refresh_landed(spark, str(landing), table, str(target), str(progress)).awaitTermination(90)
+        return read_ingested(spark, str(target), table)
+
+    return run
+
+
+def test_an_older_response_that_lands_later_changes_nothing(spark, tmp_path):
+    run = ingest_of(spark, tmp_path / "landing", tmp_path / "raw", tmp_path / "progress")
+    key = tmp_path / "landing" / "event_points" / "event_key=2026aa1"
+    land(key.parent, key.name, "fetched_on", "2026-03-10", points(frc1=50))
+    assert as_dict(run(), "team_key", "points") == {"frc1": 50}
+    land(key.parent, key.name, "fetched_on", "2026-03-05", points(frc1=10, frc2=3))
+    assert as_dict(run(), "team_key", "points") == {"frc1": 50}
+    batch = landed.read_landed(spark, str(tmp_path / "landing"), "event_points")
+    assert as_dict(landed.flatten_event_points(batch), "team_key", "points") == {"frc1": 50}
+    # the newest of one batch counts, whatever the order of its files
+    land(key.parent, key.name, "fetched_on", "2026-03-12", points(frc1=60))
+    land(key.parent, key.name, "fetched_on", "2026-03-11", points(frc1=55))
+    land(key.parent, "event_key=2026aa2", "fetched_on", "2026-03-01", points(frc7=7))
+    assert as_dict(run(), ["event_key", "team_key"], "points") == {("2026aa1", "frc1"): 60, ("2026aa2", "frc7"): 7}
+
+
+def test_a_newer_empty_response_empties_its_key(spark, tmp_path):
+    run = ingest_of(spark, tmp_path / "landing", tmp_path / "raw", tmp_path / "progress", "event_teams")
+    key = tmp_path / "landing" / "event_teams"
+    for event in ("2026aa1", "2026aa2", "2026aa3"):
+        land(key, f"event_key={event}", "fetched_on", "2026-03-01", [{"key": "frc1"}, {"key": "frc2"}])
+    assert run().count() == 6
+    land(key, "event_key=2026aa1", "fetched_on", "2026-03-02", [])
+    land(key, "event_key=2026aa2", "fetched_on", "2026-03-02", None)
+    broken = key / "event_key=2026aa3" / "fetched_on=2026-03-02"
+    broken.mkdir(parents=True)
+    (broken / "response.json").write_text('[{"key": "frc')
+    assert as_dict(run(), ["event_key", "team_key"], "event_key").keys() == {("2026aa3", "frc1"), ("2026aa3", "frc2")}
+    land(key, "event_key=2026aa1", "fetched_on", "2026-03-01", [{"key": "frc3"}], "late")
+    assert run().count() == 2
+
+
+@pytest.mark.parametrize("table", ["events", "matches", "alliances", "awards", "event_points", "district_rankings"])
+def test_ingested_tables_equal_the_batch(spark, landing, tmp_path, table):
+    from clinchline.streaming.landing import FLATTEN
+
+    found = ingest_of(spark, landing, tmp_path / "raw", tmp_path / "progress", table)()
+    batch = FLATTEN[table](landed.read_landed(spark, str(landing), table))
+    assert found.dtypes == batch.dtypes
+    assert sorted(map(str, found.collect())) == sorted(map(str, batch.collect()))
+
+
+def page(total, *teams):
+    rows = [{"teamNumber": t, "rank": i + 1, "totalPoints": 70 - i} for i, t in enumerate(teams)]
+    return {"districtRanks": rows, "pageTotal": total}
+
+
+def test_only_a_complete_fetch_of_pages_counts(spark, tmp_path):
+    folder = tmp_path / "ranking_pages"
+
+    def put(district, day, name, body):
+        path = folder / f"district_key={district}" / f"fetched_on={day}"
+        path.mkdir(parents=True, exist_ok=True)
+        (path / f"{name}.json").write_text(body if isinstance(body, str) else json.dumps(body))
+
+    def read(day=None):
+        rows = landed.flatten_ranking_pages(landed.read_landed(spark, str(tmp_path), "ranking_pages", day))
+        return sorted((r.district_key, r.team_key) for r in rows.collect())
+
+    put("2026aa", "2026-03-01", "page1", page(2, 1))
+    put("2026aa", "2026-03-01", "page2", page(2, 2))
+    # a later fetch lacks its second of three pages, another has one that does not parse
+    put("2026aa", "2026-03-02", "page1", page(3, 1, 3))
+    put("2026aa", "2026-03-02", "page3", page(3, 4))
+    put("2026aa", "2026-03-03", "page1", page(2, 9))
+    put("2026aa", "2026-03-03", "page2", '{"districtRanks": [')
+    # two fetches on one day under other names: each team once
+    for name in ("morning", "noon"):
+        put("2026bb", "2026-03-01", f"{name}1", page(2, 5))
+        put("2026bb", "2026-03-01", f"{name}2", page(2, 6))
+    put("2026cc", "2026-03-01", "response", page(0))
+    put("2026dd", "2026-03-01", "page1", page(3, 7))
+    assert read() == [("2026aa", "frc1"), ("2026aa", "frc2"), ("2026bb", "frc5"), ("2026bb", "frc6")]
+    put("2026aa", "2026-03-02", "page2", page(3, 8))
+    assert read()[:4] == [("2026aa", f"frc{t}") for t in (1, 3, 4, 8)]
+    assert read(dt.date(2026, 3, 1))[:2] == [("2026aa", "frc1"), ("2026aa", "frc2")]
+    pages = spark.read.schema(landed.landed_schema("ranking_pages")).option("multiLine", True).json(str(folder))
+    stamped = pages.select("*", *[F.col(f"_metadata.{a}").alias(b) for a, b in (("file_path", "_file"), ("file_modification_time", "_landed"))])
+    fetches = landed.ranking_fetches(stamped).where("_key = '2026dd'").collect()
+    assert [(f.pages, f.page_total, f.complete) for f in fetches] == [(1, 3, False)]
+
+
+def test_a_hundred_days_in_one_scan(spark, tmp_path):
+    day = lambda i: dt.date(2026, 1, 1) + dt.timedelta(days=i)
+    fetched = {"2026aa1": [0, 7, 8, 40], "2026aa2": [30, 31, 99], "2026aa3": [120]}
+    for event, days in fetched.items():
+        for i in days:
+            body = {"points": None} if (event, i) == ("2026aa1", 8) else points(frc1=i, frc2=1)
+            land(tmp_path / "event_points", f"event_key={event}", "fetched_on", day(i).isoformat(), body)
+    wanted = [day(i) for i in range(100)]
+    together = landed.flatten_event_points(landed.read_landed(spark, str(tmp_path), "event_points", wanted))
+    found = {}
+    for r in together.collect():
+        found.setdefault(r.as_of, []).append((r.event_key, r.team_key, r.points))
+    for i, d in enumerate(wanted):
+        expected = []
+        for event, days in fetched.items():
+            last = max((x for x in days if x <= i), default=None)
+            if last is not None and (event, last) != ("2026aa1", 8):
+                expected += [(event, "frc1", last), (event, "frc2", 1)]
+        assert sorted(found[d]) == sorted(expected)
+    for i in (0, 8, 39, 99):
+        alone = landed.flatten_event_points(landed.read_landed(spark, str(tmp_path), "event_points", day(i)))
+        assert sorted((r.event_key, r.team_key, r.points) for r in alone.collect()) == sorted(found[day(i)])
+
+
+def test_raw_tables_of_many_days(spark, landing):
+    for n, team in ((1, 11), (2, 12)):
+        land(landing, "ranking_pages", "district_key", "2026aa", page(2, team), n)
+    days = [dt.date(2026, 2, 1), dt.date(2026, 3, 15), dt.date(2026, 4, 2)]
+    together = landed.load_raw_tables(spark, str(landing), days, paginated=True)
+    for day in days:
+        alone = landed.load_raw_tables(spark, str(landing), day, paginated=True)
+        for name, table in together.items():
+            on_day = table.where(F.col("as_of") == F.lit(day)).drop("as_of")
+            assert sorted(map(str, on_day.select(alone[name].columns).collect())) == sorted(map(str, alone[name].collect())), (name, day)
+
+
+def test_readers_see_whole_versions(spark, tmp_path):
+    from clinchline.sources.versions import VersionedTables
+
+    store = VersionedTables(spark, str(tmp_path / "v"), {"district_key": "string"})
+    schema = "district_key string, n int"
+    make = lambda rows: spark.createDataFrame(rows, schema)
+    read = lambda table, version=None: sorted(map(tuple, store.read(table, schema, version).collect()))
+    assert read("a") == [] and store.version() == 0
+    for table in ("a", "b"):
+        store.write(table, make([("x", 1), ("y", 1)]), "one")
+    assert read("a") == []  # written, not published
+    store.publish(["a", "b"], make([("x", 0), ("y", 0)]), "one")
+    assert read("a") == read("b") == [("x", 1), ("y", 1)]
+    store.write("a", make([("y", 2)]), "two")
+    assert read("a") == [("x", 1), ("y", 1)]  # half of a run
+    store.write("b", make([]), "two")
+    before = store.manifest()
+    store.publish(["a", "b"], make([("y", 0)]), "two")
+    assert read("a") == [("x", 1), ("y", 2)] and read("b") == [("x", 1)]
+    assert read("a", 1) == [("x", 1), ("y", 1)] and before.count() == 4
+    store.write("a", make([("z", 9)]), "abandoned")
+    assert store.vacuum(keep=1) == ["abandoned"]
+    assert read("a") == [("x", 1), ("y", 2)]
+    store.write("a", make([("x", 3), ("y", 3)]), "three")
+    store.write("b", make([("x", 3), ("y", 3)]), "three")
+    store.publish(["a", "b"], make([("x", 0), ("y", 0)]), "three")
+    assert store.vacuum(keep=1) == ["one", "two"] and read("b") == [("x", 3), ("y", 3)]
