@@ -79,7 +79,12 @@ OPERATORS = [
 
 
 def _query(mode: str, table: str) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: getattr(open_run(spark, sf_dir, mode), table)
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        run = open_run(spark, sf_dir, mode)
+        run.prepare(table)
+        return getattr(run, table)
+
+    return query
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -13,10 +13,23 @@ from pyspark.sql import DataFrame, SparkSession
 
 from clinchline.operators import budget, clinch, phases, qualifiers, quality, reports, standings
 from clinchline.plans.formats import Format
-from clinchline.plans.stages import Stages
+from clinchline.plans.stages import TOGETHER, Stages, run_together
 from clinchline.sources.inputs import SeasonInputs
 
 
+#: Results with several readers, staged on first use.
+ALWAYS_STAGED = {
+    "event_states",
+    "dcmp_finals_state",
+    "qualifying_award_winners",
+    "wcmp_spots_v2",
+    "totals",
+    "adjusted_district_rankings",
+    "open_rankings",
+    "district_points_remaining",
+}
+
+
 class SeasonRun:
     def __init__(
         self,
@@ -45,9 +58,10 @@ class SeasonRun:
     @cached_property
     def event_states(self) -> DataFrame:
         return self.stages.keep(
-            phases.event_states(
+            lambda: phases.event_states(
                 self.inputs, self.fmt, self.event_regions, self.fix_region_fanout
-            )
+            ),
+            "event_states",
         )
 
     @cached_property
@@ -55,9 +69,10 @@ class SeasonRun:
         if not self.fmt.divisions:
             return None
         return self.stages.keep(
-            phases.finals_states(
+            lambda: phases.finals_states(
                 self.inputs, self.fmt, self.event_states, self.qualifying_award_winners
-            )
+            ),
+            "dcmp_finals_state",
         )
 
     @cached_property
@@ -76,9 +91,11 @@ class SeasonRun:
 
     @cached_property
     def qualifying_award_winners(self) -> DataFrame:
-        states = None if self.fmt.divisions else self.event_states
         return self.stages.keep(
-            qualifiers.qualifying_award_winners(self.inputs, self.fmt, states)
+            lambda: qualifiers.qualifying_award_winners(
+                self.inputs, self.fmt, None if self.fmt.divisions else self.event_states
+            ),
+            "qualifying_award_winners",
         )
 
     @property
@@ -94,48 +111,53 @@ class SeasonRun:
     @cached_property
     def wcmp_spots_v2(self) -> DataFrame:
         return self.stages.keep(
-            qualifiers.guaranteed_spots(
+            lambda: qualifiers.guaranteed_spots(
                 self.inputs,
                 self.fmt,
                 self.wcmp_spots,
                 self.team_event_states,
                 self._deciding_states,
                 self.lock_status,
-            )
+            ),
+            "wcmp_spots_v2",
         )
 
     # ---- standings -----------------------------------------------------------------------
 
     @cached_property
     def totals(self) -> DataFrame:
+        return self.stages.keep(self._totals, "totals")
+
+    def _totals(self) -> DataFrame:
         if self.fmt.championship:
-            rows = standings.championship_totals(
+            return standings.championship_totals(
                 self.inputs,
                 self.fmt,
                 self.event_states,
                 self.team_event_states,
                 self.dcmp_finals_state,
             )
-        else:
-            rows = standings.season_totals(
-                self.inputs, self.fmt, self.event_states, self.team_event_states
-            )
-        return self.stages.keep(rows)
+        return standings.season_totals(
+            self.inputs, self.fmt, self.event_states, self.team_event_states
+        )
 
     @cached_property
     def adjusted_district_rankings(self) -> DataFrame:
-        return self.stages.keep(standings.adjusted_rankings(self.totals, self.fmt))
+        return self.stages.keep(
+            lambda: standings.adjusted_rankings(self.totals, self.fmt),
+            "adjusted_district_rankings",
+        )
 
     @cached_property
     def open_rankings(self) -> DataFrame:
         """Rankings without teams that are qualified by an award or a win."""
-        left = (
-            self.qualifying_award_winners
-            if self.fmt.championship
-            else self.impact_award_winners
-        )
         return self.stages.keep(
-            standings.open_rankings(self.adjusted_district_rankings, left, self.fmt)
+            lambda: standings.open_rankings(
+                self.adjusted_district_rankings,
+                self.qualifying_award_winners if self.fmt.championship else self.impact_award_winners,
+                self.fmt,
+            ),
+            "open_rankings",
         )
 
     # ---- budget --------------------------------------------------------------------------
@@ -154,13 +176,14 @@ class SeasonRun:
     @cached_property
     def district_points_remaining(self) -> DataFrame:
         return self.stages.keep(
-            budget.district_budget(
+            lambda: budget.district_budget(
                 self.inputs,
                 self.fmt,
                 self.event_points_remaining,
                 self.event_states,
                 self.event_regions,
-            )
+            ),
+            "district_points_remaining",
         )
 
     # ---- race ----------------------------------------------------------------------------
@@ -217,7 +240,8 @@ class SeasonRun:
     def lock_status(self) -> DataFrame:
         if self.fmt.championship:
             return self.stages.keep(
-                self._championship_status(self.teams_to_pass, self.pass_summary, self._places)
+                lambda: self._championship_status(self.teams_to_pass, self.pass_summary, self._places),
+                "lock_status",
             )
         return clinch.season_lock_status(
             self.inputs,
@@ -333,14 +357,59 @@ class SeasonRun:
         passed = self.gate.where("publish").select(*f.home)
         return {n: t.join(passed, f.home, "left_semi") for n, t in tables.items()}
 
-    def stage_results(self) -> None:
-        """Stage, in dependency order, the results that tables and reports both read."""
-        names = ["team_event_states", "event_points_remaining"]
-        for v in ["", *(["_v2"] if self.fmt.second_reach else [])]:
-            names += [f"teams_to_pass{v}", f"pass_summary{v}", f"following_teams{v}"]
-            names.append(f"lock_status{v}")
-        for name in names:
-            self.__dict__[name] = self.stages.keep(getattr(self, name))
+    # ---- order of the stages -----------------------------------------------------------------
+
+    def needs(self) -> dict[str, tuple[str, ...]]:
+        """The results that each result is built from, as far as they hold up others."""
+        f = self.fmt
+        states = ("event_states", *(["dcmp_finals_state"] if f.divisions else []))
+        winners = ("qualifying_award_winners",) if f.championship else ()
+        needs = {
+            "event_states": (),
+            "team_event_states": states,
+            "totals": ("team_event_states",),
+            "adjusted_district_rankings": ("totals",),
+            "open_rankings": ("adjusted_district_rankings", *winners),
+            "event_points_remaining": states,
+            "district_points_remaining": ("event_points_remaining",),
+            "teams_to_pass": ("open_rankings", "district_points_remaining"),
+        }
+        if f.championship:
+            needs["qualifying_award_winners"] = () if f.divisions else ("event_states",)
+            needs["wcmp_spots"] = (*states, *winners)
+            needs["teams_to_pass"] = ("open_rankings", "wcmp_spots")
+        if f.divisions:
+            needs["dcmp_finals_state"] = ("event_states", "qualifying_award_winners")
+        needs["pass_summary"] = ("teams_to_pass",)
+        needs["following_teams"] = ("pass_summary",)
+        needs["lock_status"] = ("pass_summary", "district_points_remaining")
+        if f.second_reach:
+            needs["wcmp_spots_v2"] = ("lock_status", "wcmp_spots", "team_event_states")
+            needs["teams_to_pass_v2"] = ("wcmp_spots_v2",)
+            needs["pass_summary_v2"] = ("teams_to_pass_v2",)
+            needs["following_teams_v2"] = ("pass_summary_v2",)
+            needs["lock_status_v2"] = ("pass_summary_v2",)
+        return needs
+
+    def prepare(self, *names: str) -> None:
+        """Stage what these results need; stages that do not need each other run together."""
+        needs = self.needs()
+        ahead = [k for name in names for k in needs.get(name, ())]
+        run_together(needs, lambda name: getattr(self, name), ahead)
+
+    def stage_results(self, together: bool = True) -> None:
+        """Stage the results that tables and reports both read."""
+        needs = self.needs()
+        run_together(needs, self.stage, needs, TOGETHER if together else 1)
+
+    def stage(self, name: str) -> None:
+        """Stage a result, whether or not it holds up others."""
+        if name not in ALWAYS_STAGED and not (name == "lock_status" and self.fmt.championship):
+            self.__dict__[name] = self.stages.keep(
+                lambda: getattr(type(self), name).func(self), name
+            )
+        else:
+            getattr(self, name)
 
     def release(self) -> None:
         self.stages.release()

@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.storagelevel import StorageLevel
 
+from clinchline.sources.versions import SharedFiles
+
+#: Stages that are submitted together, at most.
+TOGETHER = 6
+
 
 def new_folder(spark: SparkSession) -> str:
     """A new folder that all executors see; a local one only where the cluster names none (tests)."""
@@ -22,16 +30,35 @@ class Stages:
     written there: its lineage is cut, so a lost executor costs a re-read and not a
     recomputation, and later steps read only the columns they need and know its size.
     Otherwise it is persisted with disk spill, and recomputed when lost.
+
+    With a ``folder`` of its own, on shared storage, stages survive the driver: each named stage
+    leaves a mark when it is written, and a later run with the same folder reads what is marked
+    and builds the rest.
     """
 
-    def __init__(self, spark: SparkSession):
+    def __init__(self, spark: SparkSession, folder: str | None = None):
         self.spark = spark
         shared = spark.conf.get("spark.checkpoint.dir", None)
         self.folder = f"{shared.rstrip('/')}/stages-{uuid.uuid4()}" if shared else None
+        self.resumed = folder is not None
+        if folder is not None:
+            self.folder = folder.rstrip("/")
+        self._files = SharedFiles(spark, self.folder) if self.folder else None
         self._kept: list[DataFrame] = []
         self._tables = 0
 
-    def keep(self, df: DataFrame) -> DataFrame:
+    def marked(self, name: str) -> str | None:
+        """What the mark of a finished stage says; null if it has none."""
+        return self._files.read(f"{self.folder}/_done/{name}") if self.resumed else None
+
+    def mark(self, name: str, text: str = "") -> None:
+        self._files.swap(f"{self.folder}/_done/{name}", text)
+
+    def keep(self, result: DataFrame | Callable[[], DataFrame], name: str | None = None) -> DataFrame:
+        """The rows of a stage, kept. ``result`` may be a function, which a finished stage does not call."""
+        if self.resumed and name is not None:
+            return self._named(result, name)
+        df = result() if callable(result) else result
         if self.folder is None:
             kept = df.persist(StorageLevel.MEMORY_AND_DISK)
             self._kept.append(kept)
@@ -41,6 +68,16 @@ class Stages:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def _named(self, result: DataFrame | Callable[[], DataFrame], name: str) -> DataFrame:
+        path, mark = f"{self.folder}/{name}", self.marked(name)
+        self._tables += 1
+        if mark is None:
+            df = result() if callable(result) else result
+            df.write.mode("overwrite").parquet(path)
+            mark = json.dumps(df.schema.jsonValue())
+            self.mark(name, mark)
+        return self.spark.read.schema(T.StructType.fromJson(json.loads(mark))).parquet(path)
+
     def release(self) -> None:
         """Give everything back; results built from the stages cannot be read after this."""
         for df in self._kept:
@@ -51,3 +88,41 @@ class Stages:
             path = jvm.org.apache.hadoop.fs.Path(self.folder)
             path.getFileSystem(jsc.hadoopConfiguration()).delete(path, True)
             self._tables = 0
+
+
+def run_together(
+    needs: Mapping[str, Sequence[str]],
+    do: Callable[[str], object],
+    wanted: Iterable[str],
+    together: int = TOGETHER,
+) -> None:
+    """Do what is wanted and all it needs, each after its needs; what is independent at the same time.
+
+    ``needs`` maps names to the names that must be done before. The jobs of independent steps share
+    the executors, so one step's tail does not leave them idle. If a step fails, those that already
+    run are finished and its error is raised.
+    """
+    open_steps: set[str] = set()
+    todo = list(wanted)
+    while todo:
+        name = todo.pop()
+        if name not in open_steps:
+            open_steps.add(name)
+            todo += needs[name]
+    done: set[str] = set()
+    running = {}
+    failed = None
+    with ThreadPoolExecutor(together) as pool:
+        while running or (open_steps and failed is None):
+            ready = [n for n in needs if n in open_steps and done.issuperset(needs[n])] if failed is None else []
+            if not ready and not running:
+                raise ValueError(f"steps need each other: {sorted(open_steps)}")
+            for name in ready:
+                open_steps.remove(name)
+                running[pool.submit(do, name)] = name
+            for future in wait(running, return_when=FIRST_COMPLETED).done:
+                name = running.pop(future)
+                failed = failed or future.exception()
+                done.add(name)
+    if failed is not None:
+        raise failed

@@ -44,6 +44,16 @@ def read_raw_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     }
 
 
+def with_home(name: str, table: DataFrame, fmt: Format, owners: DataFrame | None) -> DataFrame:
+    """A table with the key of its district; a table of events gets it from ``owners``."""
+    if owners is not None and not set(fmt.home) <= set(table.columns) and "event_key" in table.columns:
+        table = table.join(owners, [c for c in owners.columns if c in table.columns])
+    missing = [k for k in fmt.home if k not in table.columns]
+    if missing:
+        raise ValueError(f"{name} has no {', '.join(missing)}; writing it would erase other districts")
+    return table
+
+
 def write_tables(
     tables: Mapping[str, DataFrame], folder: str, fmt: Format, owners: DataFrame | None = None
 ) -> None:
@@ -53,11 +63,7 @@ def write_tables(
     event keys, one row per event). One that still has none would erase other runs: an error.
     """
     for name, table in tables.items():
-        if owners is not None and not set(fmt.home) <= set(table.columns) and "event_key" in table.columns:
-            table = table.join(owners, [c for c in owners.columns if c in table.columns])
-        missing = [k for k in fmt.home if k not in table.columns]
-        if missing:
-            raise ValueError(f"{name} has no {', '.join(missing)}; writing it would erase other districts")
+        table = with_home(name, table, fmt, owners)
         spread = [k for k in ("event_key", "team_key") if k in table.columns]
         laid_out = table.repartitionByRange(*fmt.home, *spread)
         save_table(laid_out, f"{folder}/{name}", list(fmt.home))

@@ -11,10 +11,11 @@ holds without any row is empty from then on.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 _POINTER = "_current"
 _MANIFESTS = "_manifests"
@@ -92,11 +93,15 @@ class VersionedTables:
             return self.spark.createDataFrame([], self._schema)
         return self.spark.read.schema(self._schema).parquet(f"{self.folder}/{_MANIFESTS}/{number:010d}")
 
-    def write(self, table: str, rows: DataFrame, run: str) -> None:
-        """Write the rows of one table of a run; not visible before ``publish``. Repeating it is harmless."""
-        lead = [*self.keys, *[k for k in ("event_key", "team_key") if k in rows.columns and k not in self.keys]]
+    def write(self, table: str, rows: DataFrame, run: str, order: Sequence[str] = ()) -> None:
+        """Write the rows of one table of a run; not visible before ``publish``. Repeating it is harmless.
+
+        Range partitions follow the keys and then ``order``, so a large key becomes several sorted files.
+        """
+        lead = [*self.keys, *[c for c in order or ("event_key", "team_key") if c in rows.columns and c not in self.keys]]
         spread = rows.repartitionByRange(*lead).sortWithinPartitions(*lead)
         spread.write.mode("overwrite").partitionBy(*self.keys).parquet(f"{self.folder}/{table}/run={run}")
+        self.files.swap(f"{self.folder}/{table}/_schema", json.dumps(rows.schema.jsonValue()))
 
     def publish(self, tables: Sequence[str], held: DataFrame, run: str) -> int:
         """Make a run visible. ``held``: the keys (and marks) whose rows it replaces in ``tables``.
@@ -117,15 +122,25 @@ class VersionedTables:
         self.files.swap(f"{self.folder}/{_POINTER}", str(before + 1))
         return before + 1
 
-    def read(self, table: str, schema: str, version: int | None = None) -> DataFrame:
-        """The rows of a table in a version. Folders of other runs are pruned by the manifest."""
+    def read(self, table: str, schema: str | None = None, version: int | None = None) -> DataFrame:
+        """The rows of a table in a version. Folders of other runs are pruned by the manifest.
+
+        Without a ``schema`` the columns are those that were written last.
+        """
+        path = f"{self.folder}/{table}"
+        written = self.files.read(f"{path}/_schema")
+        if schema is None and written is None:
+            raise ValueError(f"{path} was never written")
+        fields = T.StructType.fromDDL(schema) if schema else T.StructType.fromJson(json.loads(written))
+        if written is None:
+            return self.spark.createDataFrame([], fields)
+        known = T.StructType(fields.fields)
+        for name, kind in {**self.keys, "run": "string"}.items():
+            if name not in fields.names:
+                known = known.add(name, kind)
         counted = self.manifest(version).where(F.col("table") == table).select(*self.keys, "run")
-        path, names = f"{self.folder}/{table}", schema_names(schema)
-        if not self.files.exists(path):
-            return self.spark.createDataFrame([], schema)
-        extra = [f"`{k}` {kind}" for k, kind in {**self.keys, "run": "string"}.items() if k not in names]
-        rows = self.spark.read.schema(", ".join([schema, *extra])).parquet(path)
-        return rows.join(counted, [*self.keys, "run"], "left_semi").select(*names)
+        rows = self.spark.read.schema(known).parquet(path)
+        return rows.join(counted, [*self.keys, "run"], "left_semi").select(*fields.names)
 
     def vacuum(self, keep: int = 2) -> list[str]:
         """Remove manifests but the newest ``keep``, and runs that none of these names; returns the runs."""
@@ -142,8 +157,3 @@ class VersionedTables:
             if int(name) not in stay:
                 self.files.remove(f"{self.folder}/{_MANIFESTS}/{name}")
         return sorted(gone)
-
-
-def schema_names(schema: str) -> list[str]:
-    """Names of a flat DDL schema."""
-    return [f.split()[0].strip("`") for f in schema.split(", ")]

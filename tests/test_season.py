@@ -115,3 +115,87 @@ def test_stages_write_below_the_shared_folder(spark, tmp_path):
     assert kept.count() == 5 and str(tmp_path) in kept.inputFiles()[0]
     stages.release()
     assert not (tmp_path / "stages").exists()
+
+
+def published(store, name):
+    return rows(store.read(name))
+
+
+def test_a_published_run_resumes_and_recomputes_only_what_changed(spark, tmp_path, monkeypatch):
+    from clinchline.plans import publish
+    from clinchline.plans.publish import published_tables, publish_season
+
+    fmt = FORMATS["district"]
+    inputs = inputs_of(spark, "district")
+    folder = str(tmp_path / "published")
+    store = published_tables(spark, folder, fmt)
+
+    # a run that ends half-way shows nothing, and the next one goes on from its stages
+    def cut_off(self, name):
+        if name == "pass_summary":
+            raise RuntimeError("the driver is gone")
+        return whole(self, name)
+
+    whole = SeasonRun.stage
+    monkeypatch.setattr(SeasonRun, "stage", cut_off)
+    with pytest.raises(RuntimeError, match="gone"):
+        publish_season(spark, inputs, fmt, folder)
+    monkeypatch.setattr(SeasonRun, "stage", whole)
+    assert store.version() == 0
+    (stage_folder,) = (tmp_path / "published" / "_stages").iterdir()
+    done = {p.name for p in (stage_folder / "_done").iterdir() if not p.name.startswith(".")}
+    assert {"event_states", "totals", "open_rankings"} <= done and "pass_summary" not in done
+    monkeypatch.setattr(publish.SeasonRun, "_totals", None)  # a finished stage is not built again
+    assert publish_season(spark, inputs, fmt, folder) == 1
+    monkeypatch.undo()
+    alone = SeasonRun(spark, inputs, fmt)
+    for name in ("lock_status", "following_teams", "event_points_remaining"):
+        expected = alone.result_tables()[name]
+        assert rows(store.read(name).select(expected.columns)) == rows(expected)
+    assert not list((tmp_path / "published" / "_stages").iterdir())
+    assert publish_season(spark, inputs, fmt, folder) == 1  # nothing changed
+
+    # one event of one district changes: its district is written anew, all others stay
+    event = "2020s7a"
+    more = F.when(F.col("event_key") == event, F.col("points") + 3).otherwise(F.col("points"))
+    edited = inputs.replace(event_points=inputs.event_points.withColumn("points", more))
+    assert edited.event_points.where(F.col("event_key") == event).count() > 0
+    assert publish_season(spark, edited, fmt, folder) == 2
+    runs = store.manifest().where("table = 'lock_status'").groupBy("run").agg(F.collect_set("district_key").alias("d"))
+    sizes = sorted((len(r.d), r.d) for r in runs.collect())
+    assert sizes[0] == (1, ["2020s7"]) and len(sizes) == 2
+    full = SeasonRun(spark, edited, fmt).lock_status
+    assert rows(store.read("lock_status").select(full.columns)) == rows(full)
+    # who reads the first version still sees all of it
+    before = alone.lock_status
+    assert rows(store.read("lock_status", version=1).select(before.columns)) == rows(before)
+
+    # a district that leaves the inputs is empty from then on
+    fewer = edited.replace(
+        events=edited.events.where("district_key <> '2020s3'"),
+        district_rankings=edited.district_rankings.where("district_key <> '2020s3'"),
+    )
+    assert publish_season(spark, fewer, fmt, folder) == 3
+    left = {r.district_key for r in store.read("lock_status").select("district_key").distinct().collect()}
+    assert "2020s3" not in left and "2020s7" in left
+
+
+def test_steps_run_after_what_they_need_and_together():
+    import threading
+
+    from clinchline.plans.stages import run_together
+
+    needs = {"a": (), "b": ("a",), "c": ("a",), "d": ("b", "c"), "unused": ()}
+    both, order = threading.Barrier(2, timeout=20), []
+
+    def do(name):
+        if name in "bc":
+            both.wait()  # ends only if both run at once
+        order.append(name)
+
+    run_together(needs, do, ["d"])
+    assert order[0] == "a" and order[-1] == "d" and sorted(order) == list("abcd")
+    with pytest.raises(KeyError):
+        run_together({"a": (), "b": ("a",)}, lambda name: {}[name], ["b"])
+    with pytest.raises(ValueError, match="need each other"):
+        run_together({"a": ("b",), "b": ("a",)}, print, ["a"])
