@@ -1,7 +1,7 @@
 """Tables in versions: a run becomes visible as a whole, or not at all.
 
-``<folder>/<table>/run=<run>/<key>=<value>/`` holds the rows a run wrote for a key. A version is a
-manifest, a table that names for every (table, key) the run whose rows count. Publishing writes the
+``<folder>/<table>/run=<run>/`` holds the rows a run wrote, sorted by key: files and row groups of other
+keys are skipped by their statistics, and many small keys do not become many small files. A version is a manifest, a table that names for every (table, key) the run whose rows count. Publishing writes the
 next manifest and then swaps one small file that names it, so a reader sees the old or the new state
 of all tables. A run that ended half-way is in no manifest: nothing of it can be read.
 
@@ -100,7 +100,7 @@ class VersionedTables:
         """
         lead = [*self.keys, *[c for c in order or ("event_key", "team_key") if c in rows.columns and c not in self.keys]]
         spread = rows.repartitionByRange(*lead).sortWithinPartitions(*lead)
-        spread.write.mode("overwrite").partitionBy(*self.keys).parquet(f"{self.folder}/{table}/run={run}")
+        spread.write.mode("overwrite").parquet(f"{self.folder}/{table}/run={run}")
         self.files.swap(f"{self.folder}/{table}/_schema", json.dumps(rows.schema.jsonValue()))
 
     def publish(self, tables: Sequence[str], held: DataFrame, run: str) -> int:
