@@ -1,10 +1,10 @@
 """How secure each spot is: who could still pass whom, and with how many points.
 
-A team holds a spot as long as fewer teams pass it than there are places below it. Pairs
-(leader, follower) exist only for leaders inside the spots, so there are at most
-``capacity`` leaders per district; followers are unbounded. They are therefore joined by
-(district, block of ranks), and every window runs inside one block or over the few
-followers of a leader that matter.
+A team holds a spot as long as fewer teams pass it than there are places below it. Only teams
+inside the spots are leaders, so there are at most ``capacity`` of them per district; followers are
+unbounded. The summary counts passers by intervals of ranks, without pairs. The table of followers
+joins its pairs by (district, block of ranks), and every window runs inside one block or over the
+few followers of a leader that matter.
 """
 
 from __future__ import annotations
@@ -141,42 +141,43 @@ def _points_needed(fmt: Format) -> Column:
     return F.when(F.col("_late"), F.least(round_up(gap, 5), with_award)).otherwise(gap)
 
 
-def _first_passers(pairs: DataFrame, fmt: Format) -> DataFrame:
-    """The followers that decide a leader's fate: the first ``teams_to_pass`` that can pass.
+def _passers(followers: DataFrame, to_pass: DataFrame, fmt: Format) -> DataFrame:
+    """(leader's rank, follower) for the first ``teams_to_pass`` followers that can pass each leader.
 
-    Limited inside blocks of ranks first, so no task sees all followers of a leader.
+    Leaders rank by the points that followers must reach, so a follower that can pass the leader of
+    rank t can pass all leaders from t down to itself: each follower is one interval of ranks, found from
+    the points of its race's leaders (``capacity`` numbers). Of equal t, only the first ``spots`` + 1 followers can be
+    among the passers that count: whoever ranks better passes the same leaders, unless it is one of
+    them. Both cuts are made inside blocks of ranks, so no task sees all followers of a race, and the
+    intervals are unfolded only then.
     """
-    block = Window.partitionBy(*fmt.team, "_rank_block").orderBy("following_team_rank")
-    leader = Window.partitionBy(*fmt.team).orderBy("following_team_rank")
-    return (
-        pairs.where(F.col("following_team_can_pass"))
-        .withColumn("_rank_block", rank_block("following_team_rank"))
-        .withColumn("_local", F.row_number().over(block))
-        .where(F.col("_local") <= F.col("teams_to_pass"))
-        .withColumn("following_team_order", F.row_number().over(leader).cast("int"))
-        .where(F.col("following_team_order") <= F.col("teams_to_pass"))
+    race = to_pass.groupBy(*fmt.district).agg(
+        F.collect_list(fmt.race_points).alias("_races"),
+        # place + teams_to_pass - 1 is the number of places, the same for all teams of a race
+        F.max(F.col("teams_to_pass") + F.col("active_team_rank") - 1).alias("_spots"),
     )
-
-
-def _deciding_followers(followers: DataFrame, to_pass: DataFrame, fmt: Format) -> DataFrame:
-    """The followers that can be among the first ``teams_to_pass`` passers of some leader.
-
-    Whoever ranks better and can reach as many points passes the same leaders, unless it is
-    one of them or above. With ``spots`` places in the race, only the first ``spots`` + 1 teams
-    of each best possible total can count, however many teams there are. They are cut inside the
-    blocks the join needs anyway, which costs no further exchange of the followers.
-    """
-    # place + teams_to_pass - 1 is the number of places, the same for all teams of a race
-    spots = to_pass.groupBy(*fmt.district).agg(
-        F.max(F.col("teams_to_pass") + F.col("active_team_rank") - 1).alias("_spots")
+    ahead = F.filter("_races", lambda r: r > F.col("following_team_max_possible_points"))
+    last = F.least(F.size("_races"), F.col("_follower_place") - 1)
+    passing = (
+        followers.join(race, fmt.district)
+        .withColumns({"_first": F.size(ahead) + 1, "_last": last})
+        .where(F.col("_first") <= F.col("_last"))
+        .drop("_races")
+        .repartition(*fmt.district, "_block")
     )
-    equal = Window.partitionBy(*fmt.district, "_block", "following_team_max_possible_points")
+    equal = Window.partitionBy(*fmt.district, "_block", "_first").orderBy("following_team_rank")
+    block = Window.partitionBy(*fmt.district, "_block", "active_team_rank").orderBy("following_team_rank")
+    leader = Window.partitionBy(*fmt.district, "active_team_rank").orderBy("following_team_rank")
+    counts = F.col("_spots") - F.col("active_team_rank") + 1
     return (
-        followers.join(spots, fmt.district)
-        .repartition(*fmt.district, "_block")
-        .withColumn("_equal", F.row_number().over(equal.orderBy("following_team_rank")))
+        passing.withColumn("_equal", F.row_number().over(equal))
         .where(F.col("_equal") <= F.col("_spots") + 1)
-        .drop("_equal", "_spots")
+        .withColumn("active_team_rank", F.explode(F.sequence("_first", "_last")))
+        .withColumn("_local", F.row_number().over(block))
+        .where(F.col("_local") <= counts)
+        .withColumn("_order", F.row_number().over(leader))
+        .where(F.col("_order") <= counts)
+        .select(*fmt.district, "active_team_rank", "following_team_rank", "_follower_race", "_late")
     )
 
 
@@ -185,27 +186,25 @@ def pass_summary(
 ) -> DataFrame:
     """Per leader with anyone below: passers that count, the points they need, the last one.
 
-    Same result as summing the follower table, without building it: a leader meets at most
-    ``spots`` + 1 followers for each best possible total of a block.
+    Same result as summing the follower table, without pairing leaders and followers: only
+    the passers that count, at most ``teams_to_pass`` of a leader, meet it.
     """
     followers = _followers(open_ranks, fmt, reach)
-    leaders = _leaders(to_pass, followers, fmt)
-    deciding = _deciding_followers(followers, to_pass, fmt)
-    first = (
-        _first_passers(_pairs(leaders, deciding, fmt), fmt)
-        .groupBy(*fmt.team)
+    below = followers.groupBy(*fmt.district).agg(F.max("_follower_place").alias("_last_place"))
+    leaders = (
+        to_pass.join(below, fmt.district)
+        .where(F.col("active_team_rank") < F.col("_last_place"))
+        .select(*fmt.team, "active_team_rank", "teams_to_pass", F.col(fmt.race_points).alias("_leader_race"))
+    )
+    return (
+        leaders.join(_passers(followers, to_pass, fmt), [*fmt.district, "active_team_rank"], "left")
+        .groupBy(*fmt.team, F.col("teams_to_pass").alias("followed_teams_to_pass"))
         .agg(
-            F.count(F.lit(1)).cast("int").alias("passers"),
+            F.count("following_team_rank").cast("int").alias("passers"),
             F.sum(_points_needed(fmt)).cast("int").alias("points_to_pass"),
             F.max("following_team_rank").alias("last_passer_rank"),
         )
     )
-    return (
-        leaders.where(F.col("_block") == rank_block("active_team_rank"))
-        .select(*fmt.team, F.col("teams_to_pass").alias("followed_teams_to_pass"))
-        .join(first, fmt.team, "left")
-        .fillna(0, ["passers"])
-    )
 
 
 def following_teams(
