@@ -31,8 +31,10 @@ SEQUENCE_TOKENS = 1024
 WINDOW_TOKENS = 64 * SEQUENCE_TOKENS
 #: The id that ends every document.
 END_ID = 0
-#: Sources are the components of a mixture; more than this is taken for a wrong column.
-MAX_SOURCES = 100_000
+#: Queues of their own, at most: sources named in the shares, then those of most tokens. The others
+#: share ``TAIL_QUEUES`` queues, dealt by a hash, in which they follow each other.
+OWN_QUEUES = 100_000
+TAIL_QUEUES = 1024
 
 
 @dataclass
@@ -128,22 +130,22 @@ def encode_documents(docs: DataFrame, id_col: str, text_col: str, source_col: st
         chunk = TaskContext.get().partitionId()
         reached: dict[str, int] = {}
         for batch in batches:
-            ids, starts, sources = [], [], []
+            ids, sizes, starts, sources = [], [], [], []
             for source, text in zip(batch.column(2).to_pylist(), batch.column(1)):
                 found = encoding.encode_to_numpy(text.as_py() or "", disallowed_special=())
-                ids.append(found.astype("<u2").tobytes())
+                ids.append(found.astype("<u4" if encoding.max_token_value >> 16 else "<u2").tobytes())
+                sizes.append(len(found) + 1)
                 source = "" if source is None else source
                 sources.append(source)
                 starts.append(reached.get(source, 0))
                 reached[source] = starts[-1] + len(found) + 1
-            ends = [s + len(x) // 2 + 1 for s, x in zip(starts, ids)]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     pa.array(sources, pa.string()),
                     pa.array([chunk] * len(ids), pa.int32()),
                     pa.array(starts, pa.int64()),
-                    pa.array([e - s for s, e in zip(starts, ends)], pa.int64()),
+                    pa.array(sizes, pa.int64()),
                     pa.array(ids, pa.binary()),
                 ],
                 ["id", "source", "chunk", "start", "n", "ids"],
@@ -170,27 +172,43 @@ def pack_documents(
     piece; sequences are full but for the last, which is shorter. ``shares`` are target token
     proportions by source (default: those of the input). Null texts are empty documents of one
     id; a null source is the source "". Repeated rows are documents of their own; null ids stay
-    null; other columns are ignored; no rows give no rows. Vocabularies have at most 65,536 ids.
+    null; other columns are ignored; no rows give no rows. There may be any number of sources: beyond
+    ``OWN_QUEUES`` those without a share and with the fewest tokens are mixed as ``TAIL_QUEUES`` joint queues.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     encoded = staged(encode_documents(docs, id_col, text_col, source_col, ranks or default_ranks()), "ids")
     parts = encoded.groupBy("source", "chunk").agg(F.sum("n").alias("part"))
-    totals = {r[0]: r[1] for r in parts.groupBy("source").agg(F.sum("part")).limit(MAX_SOURCES + 1).collect()}
-    if len(totals) > MAX_SOURCES:
-        raise ValueError(f"{source_col} has more than {MAX_SOURCES} values; it cannot name a mixture")
-    before = Window.partitionBy("source").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    bases = parts.select("source", "chunk", F.coalesce(F.sum("part").over(before), F.lit(0)).alias("base"))
+    named = F.col("source").isin(*(shares or [])) if shares else F.lit(False)
+    by_size = parts.groupBy("source").agg(F.sum("part").alias("tokens")).orderBy(named.desc(), F.desc("tokens"), "source")
+    own = by_size.limit(OWN_QUEUES).select("source")
+    largest = {r["source"]: r["tokens"] for r in by_size.limit(OWN_QUEUES + 1).collect()}
+    queue = F.col("source")
+    if len(largest) > OWN_QUEUES:
+        own = staged(own, "queues").withColumn("own", F.lit(True))
+        parts = parts.join(own, "source", "left")
+        tail = F.concat(F.lit("tail "), F.pmod(F.xxhash64("source"), F.lit(TAIL_QUEUES)).cast("string"))
+        # no source of its own has such a name: theirs begin otherwise
+        queue = F.when(F.col("own"), F.concat(F.lit("own "), "source")).otherwise(tail)
+        shares = {f"own {s}": share for s, share in shares.items()} if shares else None
+    parts = parts.select(queue.alias("queue"), "source", "chunk", "part")
+    before = Window.partitionBy("queue").orderBy("source", "chunk").rowsBetween(Window.unboundedPreceding, -1)
+    bases = parts.select(
+        "queue", "source", "chunk", F.coalesce(F.sum("part").over(before), F.lit(0)).alias("base")
+    )
+    totals = largest
+    if len(largest) > OWN_QUEUES:
+        totals = {r[0]: r[1] for r in parts.groupBy("queue").agg(F.sum("part")).collect()}
     phases = plan_phases(totals, shares, window_tokens)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schedule = Schedule(phases)
         for batch in batches:
             out: list[tuple] = []
-            rows = zip(*(batch.column(c).to_pylist() for c in ("source", "base", "start", "n")))
+            rows = zip(*(batch.column(c).to_pylist() for c in ("queue", "base", "start", "n")))
             for i, (source, base, start, n) in enumerate(rows):
                 raw = batch.column("ids")[i].as_py()
                 ids = np.zeros(n, dtype="<u4")
-                ids[:-1] = np.frombuffer(raw, dtype="<u2")
+                ids[:-1] = np.frombuffer(raw, dtype="<u4" if len(raw) > 2 * (n - 1) else "<u2")
                 data, at = memoryview(ids.tobytes()), 0
                 while at < n:
                     stream, run_on = schedule.place(source, base + start + at)
@@ -209,7 +227,7 @@ def pack_documents(
 
     return (
         encoded.join(bases, ["source", "chunk"])
-        .select("id", "source", "base", "start", "n", "ids")
+        .select("id", "queue", "base", "start", "n", "ids")
         .mapInArrow(
             run,
             f"`{id_col}` {kind}, start long, length long, ids_crc32 long, doc_tokens long, "

@@ -326,6 +326,27 @@ def _cut(length: int, kind: str, id_col: str):
     return run
 
 
+def _numbered(texts: DataFrame) -> DataFrame:
+    """``texts`` (key, text) with ``doc``: whole numbers in the order of the documents, null for a null key.
+
+    Whole-number keys that do not repeat with another text are their own numbers. Otherwise the
+    different (key, text) are sorted, by a hash of the text, and numbered; the texts are joined to
+    these numbers, which is one more shuffle of them.
+    """
+    text = F.coalesce("text", F.lit(""))
+    hashes = F.struct(F.xxhash64(text).alias("a"), F.xxhash64(text, F.lit(1)).alias("b"))
+    hashed = texts.withColumn("hashes", hashes)
+    if texts.schema["key"].dataType.simpleString() in ("tinyint", "smallint", "int", "bigint"):
+        seen = hashed.where("key is not null").groupBy("key").agg(F.min("hashes").alias("lo"), F.max("hashes").alias("hi"))
+        if seen.where("lo <> hi").isEmpty():
+            return texts.select("key", F.col("key").cast("long").alias("doc"), "text")
+    numbers = staged(
+        hashed.where("key is not null").select("key", "hashes").distinct().orderBy("key", "hashes").withColumn("doc", F.monotonically_increasing_id()),
+        "numbers",
+    )
+    return hashed.join(numbers, ["key", "hashes"], "left").select("key", "doc", "text")
+
+
 def remove_repeats(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH
 ) -> DataFrame:
@@ -333,16 +354,17 @@ def remove_repeats(
 
     Texts are UTF-8 bytes; a byte is removed if a string of ``length`` bytes covers it that also
     starts earlier: in a document of smaller id, or earlier in the same one. Strings are judged on
-    the input and do not cross documents. Null and empty texts have no bytes. Rows that repeat an id
-    must repeat its text; they are one document and get equal rows. Rows with a null id have no place
-    in the order: they keep all bytes and remove none. Other columns are ignored. ``length`` is at
-    least ``K`` + 1 and at most 160.
+    the input and do not cross documents. Null and empty texts have no bytes. Rows that repeat id and
+    text are one document and get equal rows; rows that repeat an id with another text are documents
+    of their own, in the order of the texts' hashes. Ids may have any type that has an order. Rows with
+    a null id have no place in the order: they keep all bytes and remove none. Other columns are
+    ignored. ``length`` is at least ``K`` + 1 and at most 160.
     """
     if not K < length <= 160:
         raise ValueError(f"length must be over {K} and at most 160")
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
-    texts = docs.select(F.col(id_col).alias("key"), F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
+    texts = _numbered(docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("text")))
     same = Window.partitionBy("kh", "ch").orderBy("doc", "at")
     near = Window.partitionBy("kh")
     judged = staged(

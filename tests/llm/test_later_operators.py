@@ -294,3 +294,97 @@ def test_empty_tables(spark):
     empty = spark.createDataFrame([], DOCS)
     assert fill_in_middle.restore(fill_in_middle.fill_in_middle(empty)).collect() == []
     assert periodic_runs.periodic_runs(periodic_runs.with_repeated_tails(empty)).collect() == []
+
+
+# ---- earlier operators: repeated and other ids, parts, many sources ----------------------------------
+
+
+def repeats_expected(rows, length=100):
+    """(kept, spans) of each (id, text) in the given order, by all strings seen so far."""
+    seen, out = set(), []
+    for key, text in rows:
+        raw = (text or "").encode()
+        gone = bytearray(len(raw))
+        for q in range(len(raw) - length + 1):
+            if raw[q : q + length] in seen:
+                gone[q : q + length] = b"\1" * length
+            seen.add(raw[q : q + length])
+        out.append((key, bytes(c for c, g in zip(raw, gone) if not g), len(re.findall(b"\1+", bytes(gone)))))
+    return out
+
+
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_repeats_with_repeated_and_other_ids(spark, kind):
+    from clinchline.llm import suffix_dedup
+
+    rng = random.Random(12)
+    base = " ".join(f"w{rng.randrange(500)}" for _ in range(120))
+    rows = [(1, "x" * 150 + "abc"), (1, base + " one"), (2, base + " two"), (2, base + " two"), (10, "x" * 150 + "abc"), (3, None), (3, ""), (None, base)]
+    if kind == "string":
+        rows = [(None if i is None else f"id{i}", t) for i, t in rows]
+    df = spark.createDataFrame(rows, f"doc_id {kind}, text string").repartition(3)
+    found = sorted((r.doc_id, bytes(r.kept), len(r.removed)) for r in suffix_dedup.remove_repeats(df).collect() if r.doc_id is not None)
+    named = [r for r in rows if r[0] is not None]
+    orders = [sorted(set((i, t or "") for i, t in named), key=lambda r: (r[0], back * (len(r[1]) or 0))) for back in (1, -1)]
+    wanted = []
+    for order in orders:  # texts of one id may come in either order
+        once = repeats_expected(order)
+        copies = [x for (i, t), x in zip(order, once) for _ in range(sum((a, b or "") == (i, t) for a, b in named))]
+        wanted.append(sorted(copies))
+    assert found in wanted
+    nameless = [r for r in suffix_dedup.remove_repeats(df).collect() if r.doc_id is None]
+    assert [(bytes(r.kept).decode(), len(r.removed)) for r in nameless] == [(base, 0)]
+
+
+def items_of(rng, n):
+    say = lambda k: " ".join(f"t{rng.randrange(300)}" for _ in range(k))
+    return [(i, say(rng.randrange(12, 40)), say(rng.randrange(2, 6))) for i in range(n)]
+
+
+def test_contamination_does_not_depend_on_parts_or_on_long_items(spark, monkeypatch):
+    from clinchline.llm import decontamination
+
+    rng = random.Random(14)
+    items = items_of(rng, 40)
+    noise = lambda k: " ".join(f"n{rng.randrange(9000)}" for _ in range(k))
+    texts = [f"{noise(rng.randrange(300))} {q} {a} {noise(rng.randrange(300))}" for _, q, a in items[:15]]
+    texts += [f"{q} {noise(200)} {a}" for _, q, a in items[15:22]]  # the answer lies far from the question
+    docs = spark.createDataFrame([(f"d{i}", t) for i, t in enumerate(texts + [noise(500)])], "doc_id string, text string")
+    schema = "item_id string, question string, answer string"
+
+    def found(rows):
+        table = spark.createDataFrame([(None if i is None else f"i{i}", q, a) for i, q, a in rows], schema)
+        got = decontamination.contaminated(docs, table).collect()
+        return {(r.doc_id, r.item_id): (round(r.score, 9), r.question_overlap, r.answer_overlap, r.passages) for r in got}
+
+    whole = found(items)
+    assert {k for k in whole} == {(f"d{i}", f"i{i}") for i in range(15)}
+    monkeypatch.setattr(decontamination, "INDEX_ITEMS", 7)
+    assert found(items) == whole
+    monkeypatch.undo()
+    with_long = found([*items, (77, noise(3000), "never")])
+    assert with_long.keys() == whole.keys()
+    assert all(with_long[k][1:] == whole[k][1:] for k in whole)
+    nameless = [(None if i == 3 else i, q, a) for i, q, a in items]
+    assert found(nameless).keys() == {(d, None if i == "i3" else i) for d, i in whole}
+
+
+def test_packing_takes_any_number_of_sources(spark, monkeypatch):
+    from clinchline.llm import packing
+
+    rng = random.Random(15)
+    rows = [(i, "some words " * rng.randrange(1, 30), f"host{rng.randrange(60)}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    sizes = {r.doc_id: r.doc_tokens for r in packing.pack_documents(docs).collect()}
+    monkeypatch.setattr(packing, "OWN_QUEUES", 7)
+    monkeypatch.setattr(packing, "TAIL_QUEUES", 3)
+    for shares in (None, {"host1": 2, "host2": 1}):
+        at, seen = 0, {}
+        for r in sorted(packing.pack_documents(docs, shares=shares, window_tokens=500).collect(), key=lambda r: (r.sequence_id, r.offset)):
+            assert r.sequence_id * 1024 + r.offset == at
+            at += r.length
+            seen.setdefault(r.doc_id, []).append((r.start, r.length))
+        assert at == sum(sizes.values())
+        for i, pieces in seen.items():
+            ends = [0, *np.cumsum([n for _, n in sorted(pieces)]).tolist()]
+            assert [a for a, _ in sorted(pieces)] == ends[:-1] and ends[-1] == sizes[i]
