@@ -357,12 +357,23 @@ def near_duplicates(
     open_keys = (
         member.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
     )
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
+    # members of a bucket's largest component need not meet each other: they have blocks of their own,
+    # numbered behind those of the rest, and meet the rest's blocks only
+    sizes = member.join(open_keys, "key").groupBy("key", "comp").agg(F.count("*").alias("size"))
+    largest = F.max(F.struct("size", (-F.col("comp")).alias("comp")))
+    halves = sizes.groupBy("key").agg(largest.alias("core"), F.sum("size").alias("members")).select(
+        "key",
+        (-F.col("core.comp")).alias("core"),
+        F.ceil((F.col("members") - F.col("core.size")) / BLOCK).cast("int").alias("loose_blocks"),
+        F.ceil(F.col("core.size") / BLOCK).cast("int").alias("core_blocks"),
+    )
+    hashed, core = F.xxhash64("id"), F.col("comp") == F.col("core")
+    loose, cores = F.col("loose_blocks"), F.col("core_blocks")
     dealt = (
-        member.join(open_keys, "key")
+        member.join(halves, "key")
         .join(reps.select("id", "n", "sig"), "id")
-        .withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+        .withColumn("block", F.when(core, loose + F.pmod(hashed, cores)).otherwise(F.pmod(hashed, loose)).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.when(core, loose).otherwise(loose + cores) - 1)))
         .select(
             "key", "band", "id", "comp", "n", "sig",
             F.least("block", "other").alias("bi"),

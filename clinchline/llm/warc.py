@@ -1,8 +1,7 @@
 """A deterministic sharded WARC writer, and a reader of what it wrote.
 
-Records are range-sorted by id into shards whose bounds come from a fixed hash sample of ids, so
-a table always gives the same shards. A task writes its shard's records in order as gzip members
-and starts another file when the compressed size passes ``roll_bytes``. Headers, record ids and
+Records are range-sorted by id into shards of about equal bytes, whose bounds are ids of a fixed hash
+sample, so a table always gives the same shards. A task writes one shard: its records in order as gzip members, starting another file when the compressed size passes ``roll_bytes``. Headers, record ids and
 digests are made anew from the payload. Files are written under a temporary name of the attempt
 and moved to their final name when complete; the manifest, which Spark commits after all tasks,
 lists the files that count. A task that is run again writes the same bytes to the same names.
@@ -25,6 +24,8 @@ from clinchline.llm.common import staged
 
 #: Ids of the hash sample that shard bounds are taken from.
 SAMPLED_IDS = 10_000
+#: What a record counts beside its payload when shards are sized.
+RECORD_BYTES = 500
 #: The date of all records, so that the same pages give the same bytes.
 DATE = "2024-01-01T00:00:00Z"
 CRLF = "\r\n"
@@ -36,11 +37,13 @@ _RECORDS = (
 )
 
 
-def record_id(page: int, digest: str) -> str:
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page}:{digest}')}>"
+def record_id(page: int | None, digest: str, url: str = "") -> str:
+    """Named by id and payload; a page without an id by its url and payload."""
+    name = f"page::{url}:{digest}" if page is None else f"page:{page}:{digest}"
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, name)}>"
 
 
-def record_bytes(page: int, url: str, payload: bytes, digest: str, first: int | None) -> bytes:
+def record_bytes(page: int | None, url: str, payload: bytes, digest: str, first: int | None) -> bytes:
     """One WARC/1.1 record: a response, or a revisit of page ``first`` without the payload."""
     http = f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}Content-Length: {len(payload)}{CRLF}{CRLF}".encode()
     block = http if first is not None else http + payload
@@ -48,10 +51,10 @@ def record_bytes(page: int, url: str, payload: bytes, digest: str, first: int |
     lines = [
         "WARC/1.1",
         f"WARC-Type: {'response' if first is None else 'revisit'}",
-        f"WARC-Record-ID: {record_id(page, digest)}",
+        f"WARC-Record-ID: {record_id(page, digest, url)}",
         f"WARC-Date: {DATE}",
         f"WARC-Target-URI: {_header(url)}",
-        f"WARC-Page-ID: {page}",
+        *([] if page is None else [f"WARC-Page-ID: {page}"]),
         f"WARC-Payload-Digest: sha1:{digest}",
         f"WARC-Block-Digest: sha1:{block_digest}",
     ]
@@ -81,11 +84,31 @@ def _filesystem(uri: str):
     return fs.FileSystem.from_uri(uri if "://" in uri else f"file://{uri}")
 
 
-def shard_bounds(pages: DataFrame, id_col: str, shards: int) -> list[int]:
-    """Ascending ids that split the table in ``shards`` parts: quantiles of a fixed hash sample."""
-    sample = pages.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("i"))
-    ids = sorted(r.i for r in sample.orderBy(F.xxhash64("i"), "i").limit(SAMPLED_IDS).collect())
-    return sorted({ids[len(ids) * k // shards] for k in range(1, shards)}) if ids else []
+def shard_bounds(source: DataFrame, shards: int) -> list[int]:
+    """Ascending ids that split the pages in ``shards`` parts of about equal bytes.
+
+    The bounds are ids of a fixed hash sample; the bytes between each two of them are summed over all
+    pages. A range between two sampled ids is not split.
+    """
+    ids = source.where("page is not null").select("page").orderBy(F.xxhash64("page"), "page").limit(SAMPLED_IDS)
+    edges = np.array(sorted({r.page for r in ids.collect()}), dtype=np.int64)
+    if not len(edges):
+        return []
+
+    def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = np.searchsorted(edges, batch.column(0).to_numpy(), side="right")
+            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), batch.column(1)], ["range", "size"])
+
+    sizes = source.where("page is not null").select("page", (F.length("payload") + RECORD_BYTES).cast("long"))
+    held = sizes.mapInArrow(ranges, "range int, size long").groupBy("range").agg(F.sum("size").alias("size"))
+    per_range = np.zeros(len(edges) + 1, dtype=np.int64)
+    for r in held.collect():
+        per_range[r["range"]] = r["size"]
+    before = np.cumsum(per_range)[:-1]  # bytes of ids below each edge
+    wanted = [before[-1] + per_range[-1]] * np.arange(1, shards) / shards
+    at = np.searchsorted(before, wanted)
+    return sorted({int(edges[k]) for k in at if k < len(edges)})
 
 
 def write_warc(
@@ -104,19 +127,26 @@ def write_warc(
     Of records with equal payloads of at least ``revisit_from`` bytes the one with the smallest id
     is a response, the others are revisits of it; smaller payloads are always responses. Null
     payloads are empty, null urls are empty. Repeated rows of an id: the first by url is the response,
-    the others revisit it. A null id cannot be named in an archive and raises. Other columns are
-    ignored; no rows give a manifest without files.
+    the others revisit it. A page with a null id has a record named by its url and payload and without a
+    page id; it revisits a page with an id, or else is a response. Other columns are
+    ignored; no rows give a manifest without files. Ids are whole numbers.
     """
     source = pages.select(
-        F.when(F.col(id_col).isNull(), F.raise_error(F.lit("a page without an id"))).otherwise(F.col(id_col).cast("long")).alias("page"),
+        F.col(id_col).cast("long").alias("page"),
         F.coalesce(F.col(url_col), F.lit("")).alias("url"),
         F.coalesce(F.col(payload_col).cast("binary"), F.lit(b"")).alias("payload"),
     )
-    bounds = np.array(shard_bounds(pages, id_col, shards), dtype=np.int64)
+    bounds = np.array(shard_bounds(source, shards), dtype=np.int64)
 
     def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = np.searchsorted(bounds, batch.column("page").to_numpy(), side="right")
+            pages = batch.column("page")
+            at = np.searchsorted(bounds, pages.fill_null(0).to_numpy(), side="right")
+            for i in np.flatnonzero(pages.is_null().to_numpy(zero_copy_only=False)):
+                # pages without an id are dealt out by their payload, with what they revisit
+                raw = batch.column("payload")[int(i)].as_py()
+                raw = hashlib.sha1(raw).digest() if batch.column("kind")[int(i)].as_py() else raw
+                at[i] = int.from_bytes(raw[:4], "big") % (len(bounds) + 1)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(at, pa.int32()), *batch.columns], ["shard", *batch.schema.names]
             )
@@ -124,7 +154,7 @@ def write_warc(
     digests = source.select("page", F.sha1("payload").alias("digest"), F.length("payload").alias("size"))
     firsts = (
         digests.join(digests.groupBy("digest").agg(F.min("page").alias("first")), "digest")
-        .where((F.col("size") >= revisit_from) & (F.col("first") != F.col("page")))
+        .where((F.col("size") >= revisit_from) & F.col("first").isNotNull() & ~F.col("first").eqNullSafe(F.col("page")))
         .select("page", "digest", "first")
         .distinct()
     )
@@ -134,10 +164,22 @@ def write_warc(
     layout = "shard int, page long, kind int, url string, payload binary, first long"
     dealt = (
         rows.mapInArrow(shard, layout)
-        .repartition(len(bounds) + 1, "shard")
+        .repartitionById(len(bounds) + 1, "shard")
         .sortWithinPartitions("shard", "page", "kind", "url", "payload")
     )
-    return staged(dealt.mapInArrow(_writer(folder, roll_bytes, revisit_from, level), _MANIFEST), "manifest")
+    manifest = staged(dealt.mapInArrow(_writer(folder, roll_bytes, revisit_from, level), _MANIFEST), "manifest")
+    _remove_unfinished(folder)
+    return manifest
+
+
+def _remove_unfinished(folder: str) -> None:
+    """Remove the temporary files of attempts that failed; all tasks are done."""
+    from pyarrow.fs import FileSelector
+
+    fs, root = _filesystem(folder)
+    for found in fs.get_file_info(FileSelector(root, allow_not_found=True)):
+        if found.base_name.startswith(".part-") and found.base_name.endswith(".tmp"):
+            fs.delete_file(found.path)
 
 
 class _File:
@@ -184,7 +226,7 @@ def _writer(folder: str, roll_bytes: int, revisit_from: int, level: int):
                     continue
                 raw = hashlib.sha1(payload).digest()
                 refers = earlier.get(raw)
-                if len(payload) >= revisit_from:
+                if page is not None and len(payload) >= revisit_from:
                     earlier.setdefault(raw, page)
                 if file is not None and (file.shard != shard or file.size >= roll_bytes):
                     part = file.part + 1 if file.shard == shard else 0
@@ -252,7 +294,8 @@ def _parsed(record: bytes) -> tuple:
     block = rest[: int(fields["Content-Length"])]
     http, _, payload = block.partition(b"\r\n\r\n")
     stated = fields["WARC-Payload-Digest"].removeprefix("sha1:")
-    page, url = int(fields["WARC-Page-ID"]), _from_header(fields["WARC-Target-URI"])
+    page = int(fields["WARC-Page-ID"]) if "WARC-Page-ID" in fields else None
+    url = _from_header(fields["WARC-Target-URI"])
     if fields["WARC-Type"] == "revisit":
         size = int(next(x for x in http.split(b"\r\n") if x.startswith(b"Content-Length"))[15:])
         return page, url, "revisit", None, size, stated, int(fields["WARC-Refers-To-Page-ID"]), True

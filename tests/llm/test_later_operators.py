@@ -388,3 +388,45 @@ def test_packing_takes_any_number_of_sources(spark, monkeypatch):
         for i, pieces in seen.items():
             ends = [0, *np.cumsum([n for _, n in sorted(pieces)]).tolist()]
             assert [a for a, _ in sorted(pieces)] == ends[:-1] and ends[-1] == sizes[i]
+
+
+def test_warc_of_pages_without_ids_and_of_uneven_sizes(spark):
+    from clinchline.llm import warc
+    from clinchline.llm.common import new_folder
+
+    big = "x" * 200_000
+    rows = [(None, "u1", "only here"), (None, "u2", "shared"), (5, "u3", "shared"), (None, None, None), (None, "u4", "twice"), (None, "u5", "twice")]
+    rows += [(i, f"p{i}", f"{i} " + (big if i < 110 else "small")) for i in range(100, 400)]
+    table = spark.createDataFrame([(*r, "x", 1) for r in rows], "page_id long, url string, html string, shard string, kind int").repartition(4)
+    folder = new_folder(spark, "warc")
+    manifest = warc.write_warc(table, folder, shards=6, level=0)
+    read = warc.read_warc(spark, folder, manifest).collect()
+    assert all(r.digest_ok for r in read)
+    got = sorted(((r.page_id or 0), r.url, r.record_type, r.refers_to or 0, r.payload_bytes) for r in read)
+    want = []
+    for page, url, html in rows:
+        revisit = html == "shared" and page is None
+        want.append((page or 0, url or "", "revisit" if revisit else "response", 5 if revisit else 0, len(html or "")))
+    assert got == sorted(want)
+    # shards are of about equal bytes: ten pages hold nearly all of them
+    sizes = {}
+    for m in manifest.collect():
+        sizes[m["shard"]] = sizes.get(m["shard"], 0) + m["bytes"]
+    assert len(sizes) == 6 and max(sizes.values()) < 2.2 * sum(sizes.values()) / 6
+
+
+def test_a_crowd_meets_those_outside_it_only(spark, monkeypatch):
+    """One bucket of many copies and a few likenesses outside: rows are dealt once per outside block."""
+    from clinchline.llm import near_duplicates
+
+    monkeypatch.setattr(near_duplicates, "BLOCK", 8)
+    rng = random.Random(17)
+    base = [f"w{rng.randrange(10_000)}" for _ in range(200)]
+    rows = [(i, " ".join([*base[:-1], f"end{i}"])) for i in range(60)]  # linked with each other
+    far = lambda i: [f"z{i}_{k}" if k % 9 == 0 else w for k, w in enumerate(base)]
+    rows += [(100 + i, " ".join(far(i))) for i in range(12)] + [(200, " ".join([*far(3)[:-1], "copy"]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    sets = {i: {tuple(t.split()[k : k + 3]) for k in range(198)} for i, t in rows}
+    low = {i: min(j for j in sets if 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j])) for i in sets}
+    found = near_duplicates.near_duplicates(df, shingle_words=3, threshold=(85, 100)).collect()
+    assert {r.doc_id: r.component_id for r in found} == low and low[59] == 0 and low[200] == 103
