@@ -79,12 +79,7 @@ OPERATORS = [
 
 
 def _query(mode: str, table: str) -> Callable[[SparkSession, str], DataFrame]:
-    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        run = open_run(spark, sf_dir, mode)
-        run.prepare(table)
-        return getattr(run, table)
-
-    return query
+    return lambda spark, sf_dir: open_run(spark, sf_dir, mode).ready(table)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

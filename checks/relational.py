@@ -17,7 +17,7 @@ from clinchline.functions.columns import (
     rule_value,
     total_if,
 )
-from clinchline.functions.ranking import Piece, first_per_key, rank_block, spread_row_number
+from clinchline.functions.ranking import Piece, first_per_key, rank_block, spread_row_number, spread_running_sum
 from clinchline.plans.stages import Stages
 
 C = F.col
@@ -814,6 +814,19 @@ def _w5(t):
     return _by_size(t).select("l_suppkey", "l_linenumber", F.sum("q").over(order).alias("through"))
 
 
+@_entry(
+    "w5_running_sum_of_any_size",
+    """SELECT l_linestatus, l_orderkey, l_linenumber, CAST(SUM(CAST(l_quantity AS INTEGER)) OVER (
+         PARTITION BY l_linestatus ORDER BY l_orderkey, l_linenumber) AS BIGINT) AS through FROM lineitem""",
+)
+def _w5_any_size(t):
+    # two values of the key: each holds half of all lines
+    lines = t("lineitem").select("l_linestatus", "l_orderkey", "l_linenumber", _qty().alias("q"))
+    ranges = [Piece(F.floor(C("l_orderkey") / 1000))]
+    order = [C("l_orderkey").asc(), C("l_linenumber").asc()]
+    return spread_running_sum(lines, ["l_linestatus"], ranges, order, "q", "through").drop("q")
+
+
 @_entry(
     "w6_partition_min",
     f"""SELECT l_suppkey, l_linenumber, MIN(q) OVER (PARTITION BY l_suppkey) AS least

@@ -104,7 +104,7 @@ def _season(mode: str) -> None:
     _entry(
         f"{ranks}_rankings",
         mode,
-        lambda run: reports.rankings(run.lock_status, run.fmt),
+        lambda run: reports.rankings(run.ready("lock_status"), run.fmt),
         f"""SELECT district_key{region}, rank, SUBSTRING(team_key, 4) AS team_number, team_key,
               event1_points, event2_points, rookie_bonus, total_points, lock_status, color,
               {_OPEN} AS has_team_page FROM lock_status""",
@@ -137,7 +137,7 @@ def _season(mode: str) -> None:
     _entry(
         "r10_team_header",
         mode,
-        lambda run: reports.team_header(run.lock_status, run.fmt),
+        lambda run: reports.team_header(run.ready("lock_status"), run.fmt),
         f"""SELECT district_key{region}, team_key, total_inflated_points, teams_to_pass,
               total_teams_that_can_pass, total_points_to_pass, total_points_remaining, lock_status,
               COALESCE(total_teams_that_can_pass < teams_to_pass, FALSE) AS shows_passers
@@ -146,7 +146,7 @@ def _season(mode: str) -> None:
     _entry(
         "r11_followers",
         mode,
-        lambda run: reports.team_followers(run.following_teams, run.fmt),
+        lambda run: reports.team_followers(run.ready("following_teams"), run.fmt),
         f"""SELECT district_key{region}, team_key, following_team_key,
               SUBSTRING(following_team_key, 4) AS following_team_number, following_team_rank,
               following_team_inflated_points AS inflated_points_total,
@@ -160,7 +160,7 @@ def _championship(mode: str) -> None:
     _entry(
         "r5_rankings",
         mode,
-        lambda run: reports.rankings(run.lock_status_v2, run.fmt),
+        lambda run: reports.rankings(run.ready("lock_status_v2"), run.fmt),
         f"""SELECT district_key, rank, SUBSTRING(team_key, 4) AS team_number, team_key,
               COALESCE(district_event_points, 0) AS district_event_points, rookie_bonus,
               COALESCE(dcmp_points, 0) AS dcmp_points, total_points, lock_status, color,
@@ -220,7 +220,7 @@ def _championship(mode: str) -> None:
     _entry(
         "r10_team_header",
         mode,
-        lambda run: reports.team_header(run.lock_status_v2, run.fmt),
+        lambda run: reports.team_header(run.ready("lock_status_v2"), run.fmt),
         """SELECT district_key, team_key, total_points, teams_to_pass, total_teams_that_can_pass,
              total_points_to_pass, total_points_remaining, lock_status,
              COALESCE(total_teams_that_can_pass < teams_to_pass, FALSE) AS shows_passers
@@ -229,7 +229,7 @@ def _championship(mode: str) -> None:
     _entry(
         "r11_followers",
         mode,
-        lambda run: reports.team_followers(run.following_teams_v2, run.fmt),
+        lambda run: reports.team_followers(run.ready("following_teams_v2"), run.fmt),
         """SELECT district_key, team_key, following_team_key,
              SUBSTRING(following_team_key, 4) AS following_team_number, following_team_rank,
              following_team_points AS points_total,

@@ -67,6 +67,37 @@ def spread_row_number(
     )
 
 
+def spread_running_sum(
+    df: DataFrame,
+    keys: Sequence[str],
+    pieces: Sequence[Piece],
+    inside: Sequence[Column],
+    value: str,
+    name: str,
+) -> DataFrame:
+    """Running sums of ``value`` in each group by ``pieces`` and then ``inside``.
+
+    Equals ``sum(value) over (partition by keys order by pieces, inside rows unbounded preceding)`` for groups
+    of any size: sums are taken per range of the order, only these are added up per group, and rows are added up
+    inside their range. ``df`` is read twice. Keys and pieces must not be null, null values count 0.
+    """
+    labels = [f"_piece_{i}" for i in range(len(pieces))]
+    cut = df.withColumns({n: p.column for n, p in zip(labels, pieces)})
+    ordered = [F.col(n).desc() if p.descending else F.col(n).asc() for n, p in zip(labels, pieces)]
+    earlier = Window.partitionBy(*keys).orderBy(*ordered).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        cut.groupBy(*keys, *labels)
+        .agg(F.sum(value).alias("_sum"))
+        .select(*keys, *labels, F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_offset"))
+    )
+    local = Window.partitionBy(*keys, *labels).orderBy(*inside).rowsBetween(Window.unboundedPreceding, 0)
+    return (
+        cut.join(offsets, [*keys, *labels])
+        .withColumn(name, F.col("_offset") + F.coalesce(F.sum(value).over(local), F.lit(0)))
+        .drop("_offset", *labels)
+    )
+
+
 def first_per_key(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int
 ) -> DataFrame:

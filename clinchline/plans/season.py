@@ -397,6 +397,11 @@ class SeasonRun:
         ahead = [k for name in names for k in needs.get(name, ())]
         run_together(needs, lambda name: getattr(self, name), ahead)
 
+    def ready(self, name: str) -> DataFrame:
+        """A result, what it needs staged first."""
+        self.prepare(name)
+        return getattr(self, name)
+
     def stage_results(self, together: bool = True) -> None:
         """Stage the results that tables and reports both read."""
         needs = self.needs()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Mapping, Sequence
@@ -20,7 +21,11 @@ TOGETHER = 6
 def new_folder(spark: SparkSession) -> str:
     """A new folder that all executors see; a local one only where the cluster names none (tests)."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{shared.rstrip('/')}/tables-{uuid.uuid4()}" if shared else f"file://{tempfile.mkdtemp(prefix='tables-')}"
+    if shared:
+        return f"{shared.rstrip('/')}/tables-{uuid.uuid4()}"
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors see")
+    return f"file://{tempfile.mkdtemp(prefix='tables-')}"
 
 
 class Stages:

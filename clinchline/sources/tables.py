@@ -9,8 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from clinchline import schemas
 from clinchline.plans.formats import Format
 
-# rows of one file of a report
+# rows of one file of a report, and bytes of its row groups, of which a page reads one
 REPORT_FILE_ROWS = 1_000_000
+REPORT_GROUP_BYTES = 16 << 20
+# columns by which pages look up their rows
+PAGE_KEYS = ["team_key", "event_key"]
 
 # sort order of each report
 REPORT_ORDER = {
@@ -73,7 +76,8 @@ def write_reports(reports: Mapping[str, DataFrame], folder: str, fmt: Format) ->
     """One dataset per report, by district and in display order.
 
     Range partitions follow the display order, so a large district becomes several sorted
-    files instead of one task.
+    files instead of one task. Small row groups with bloom filters of the page keys let a page read
+    one row group of a large report.
     """
     for name, report in reports.items():
         order = REPORT_ORDER.get(name, [])
@@ -81,10 +85,14 @@ def write_reports(reports: Mapping[str, DataFrame], folder: str, fmt: Format) ->
             order = DIVISION_EVENT_ORDER
         keys = [*fmt.district, *order] if "region" in report.columns else [*fmt.home, *order]
         laid_out = report.repartitionByRange(*keys).sortWithinPartitions(*keys)
-        (
+        writer = (
             laid_out.write.partitionBy(*fmt.home)
             .mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .option("maxRecordsPerFile", REPORT_FILE_ROWS)
-            .parquet(f"{folder}/{name}")
+            .option("parquet.block.size", REPORT_GROUP_BYTES)
         )
+        for key in PAGE_KEYS:
+            if key in report.columns:  # rows of a page are found where the order does not lead to them
+                writer = writer.option(f"parquet.bloom.filter.enabled#{key}", "true")
+        writer.parquet(f"{folder}/{name}")

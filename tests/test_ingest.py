@@ -379,3 +379,26 @@ def test_readers_see_whole_versions(spark, tmp_path):
     store.write("b", make([("x", 3), ("y", 3)]), "three")
     store.publish(["a", "b"], make([("x", 0), ("y", 0)]), "three")
     assert store.vacuum(keep=1) == ["one", "two"] and read("b") == [("x", 3), ("y", 3)]
+
+
+def test_a_page_reads_one_row_group_of_a_report(spark, tmp_path, monkeypatch):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    monkeypatch.setattr(tables, "REPORT_GROUP_BYTES", 1 << 14)
+    team = F.concat(F.lit("frc"), F.lpad(F.col("id").cast("string"), 6, "0"))
+    pages = spark.range(60_000).select(F.lit("2026aa").alias("district_key"), team.alias("team_key"), F.sha2(team, 256).alias("text"))
+    tables.write_reports({"team_pages": pages}, str(tmp_path), FORMATS["district"])
+    groups = []
+    for file in glob.glob(f"{tmp_path}/team_pages/*/*.parquet"):
+        meta = pq.ParquetFile(file).metadata
+        place = meta.schema.names.index("team_key")
+        for g in range(meta.num_row_groups):
+            column = meta.row_group(g).column(place)
+            groups.append((column.statistics.min, column.statistics.max))
+    assert len(groups) > 10
+    wanted = "frc031234"
+    assert sum(low <= wanted <= high for low, high in groups) == 1
+    row = spark.read.parquet(f"{tmp_path}/team_pages").where(F.col("team_key") == wanted).collect()
+    assert [r.team_key for r in row] == [wanted]

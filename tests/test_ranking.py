@@ -42,3 +42,18 @@ def test_first_per_key_limits_before_the_shuffle(spark):
     assert sorted(map(tuple, first.collect())) == [(0, 0), (0, 3), (1, 1), (1, 4), (2, 2), (2, 5)]
     plan = first._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_running_sums_of_a_group_of_any_size(spark):
+    rows = spark.range(5000).select(
+        F.when(F.col("id") % 3 == 0, F.concat(F.lit("k"), (F.col("id") % 40).cast("string"))).otherwise("hot").alias("key"),
+        (F.xxhash64("id") % 700).alias("at"),
+        "id",
+        F.when(F.col("id") % 11 != 0, F.col("id") % 17).alias("n"),
+    )
+    for pieces in ([ranking.Piece(F.floor(F.col("at") / 50))], [ranking.Piece(F.floor(F.col("at") / 50), descending=True)]):
+        found = ranking.spread_running_sum(rows, ["key"], pieces, [F.col("at"), F.col("id")], "n", "through")
+        first = pieces[0].column.desc() if pieces[0].descending else pieces[0].column.asc()
+        window = Window.partitionBy("key").orderBy(first, "at", "id").rowsBetween(Window.unboundedPreceding, 0)
+        plain = rows.withColumn("through", F.coalesce(F.sum("n").over(window), F.lit(0)))
+        assert sorted(map(tuple, found.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
