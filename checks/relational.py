@@ -816,12 +816,15 @@ def _w5(t):
 
 @_entry(
     "w5_running_sum_of_any_size",
-    """SELECT l_linestatus, l_orderkey, l_linenumber, CAST(SUM(CAST(l_quantity AS INTEGER)) OVER (
-         PARTITION BY l_linestatus ORDER BY l_orderkey, l_linenumber) AS BIGINT) AS through FROM lineitem""",
+    """SELECT l_linestatus, l_orderkey, l_linenumber, CAST(SUM(q) OVER (
+         PARTITION BY l_linestatus ORDER BY l_orderkey, l_linenumber) AS BIGINT) AS through FROM (
+         SELECT l_linestatus, l_orderkey, l_linenumber, SUM(CAST(l_quantity AS INTEGER)) AS q
+         FROM lineitem GROUP BY ALL) r""",
 )
 def _w5_any_size(t):
     # two values of the key: each holds half of all lines
-    lines = t("lineitem").select("l_linestatus", "l_orderkey", "l_linenumber", _qty().alias("q"))
+    keys = ["l_linestatus", "l_orderkey", "l_linenumber"]
+    lines = _stage(t("lineitem").groupBy(*keys).agg(_sum(_qty()).alias("q")))
     ranges = [Piece(F.floor(C("l_orderkey") / 1000))]
     order = [C("l_orderkey").asc(), C("l_linenumber").asc()]
     return spread_running_sum(lines, ["l_linestatus"], ranges, order, "q", "through").drop("q")
