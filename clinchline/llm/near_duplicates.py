@@ -293,13 +293,28 @@ def near_duplicates(
     Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case; documents are linked where
     ``den * |A and B| >= num * |A or B|`` for ``threshold = (num, den)``. ``component_id`` is
     the smallest id reachable over links, ``kept`` marks the document that has it. ``miss`` bounds the probability that
-    banding overlooks a pair at the threshold; a pair is dropped once its posterior is below ``miss``.
+    banding overlooks a pair at the threshold; a pair is dropped once its posterior is below ``miss``. It is looked at
+    after every batch of its signature, so in all a pair at the threshold is overlooked with a probability of
+    at most ``miss`` times one more than the number of looks.
 
     Texts that are null, empty or without words have no shingles, are linked with nothing and
     kept. Shorter texts than a shingle are one shingle. Repeated rows of an id each get a row
     and are one document with each other; a null id is a component of its own, with a null
-    ``component_id``, and is kept. Other columns of ``docs`` are ignored. No documents, no rows.
+    ``component_id``, and is kept. Ids may have any type that has an order; those that are not whole numbers are
+    numbered first, which is one more shuffle of the texts. Other columns of ``docs`` are ignored. No
+    documents, no rows.
     """
+    if docs.schema[id_col].dataType.simpleString() not in ("tinyint", "smallint", "int", "bigint"):
+        ids = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id")).distinct().orderBy("id")
+        ids = staged(ids.withColumn("number", F.monotonically_increasing_id()), "numbers")
+        rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(ids, "id", "left")
+        found = near_duplicates(rows, "number", "text", shingle_words, threshold, miss)
+        smallest = ids.select(F.col("id").alias("smallest"), F.col("number").alias("component_id"))
+        return (
+            found.join(ids, "number", "left")
+            .join(smallest, "component_id", "left")
+            .select(F.col("id").alias(id_col), "n_shingles", F.col("smallest").alias("component_id"), "kept")
+        )
     num, den = threshold
     t = num / den
     bands = bands_for(t, miss)

@@ -71,18 +71,20 @@ def statistics(text: str | None) -> list[float]:
     ]
 
 
-def document_statistics(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, stats) for every row."""
+def document_statistics(docs: DataFrame, id_col: str, text_col: str, carried: tuple[str, ...] = ()) -> DataFrame:
+    """(id, stats, ``carried`` columns) for every row."""
     kind = docs.schema[id_col].dataType.simpleString()
+    more = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in carried)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             stats = [statistics(t.as_py()) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(stats, pa.list_(pa.float32()))], ["id", "stats"]
+                [batch.column(0), pa.array(stats, pa.list_(pa.float32())), *batch.columns[2:]],
+                ["id", "stats", *carried],
             )
 
-    return docs.select(id_col, text_col).mapInArrow(run, f"id {kind}, stats array<float>")
+    return docs.select(id_col, text_col, *carried).mapInArrow(run, f"id {kind}, stats array<float>{more}")
 
 
 @dataclass
@@ -226,27 +228,36 @@ def held_out(id_col: str):
 
 
 def quality_scores(
-    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality"
+    docs: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    label_col: str = "quality",
+    carried: tuple[str, ...] = (),
 ) -> DataFrame:
-    """One row per row of ``docs``: id, held_out, score (0 to 1), predicted (score >= 0.5).
+    """One row per row of ``docs``: id, held_out, score (0 to 1), predicted (score >= 0.5), ``carried`` columns.
 
     Only statistics of the whole text enter a score; labels of held-out rows are never read. Null
     and empty texts have zero statistics and are scored like any other. Repeated rows get equal
     scores; null ids are scored and never learned from; other columns are ignored.
     """
     kind = docs.schema[id_col].dataType.simpleString()
-    stats = staged(document_statistics(docs, id_col, text_col), "statistics")
-    model = fit_quality(stats, labels, id_col, label_col)
+    more = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in carried)
+    stats = staged(document_statistics(docs, id_col, text_col, carried), "statistics")
+    model = fit_quality(stats.select("id", "stats"), labels, id_col, label_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 score = model.score(_stats_of(batch))
-                yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(score)], ["id", "score"])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("id"), pa.array(score), *batch.columns[2:]], ["id", "score", *carried]
+                )
 
-    return stats.mapInArrow(run, f"id {kind}, score double").select(
+    return stats.mapInArrow(run, f"id {kind}, score double{more}").select(
         F.col("id").alias(id_col),
         held_out("id").alias("held_out"),
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        *carried,
     )

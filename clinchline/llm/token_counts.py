@@ -22,6 +22,8 @@ MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 #: Words whose counts a worker keeps; the memory they take is bounded, results do not depend on it.
 KEPT_WORDS = 400_000
+#: Positions whose scores are kept before those beyond the longest piece are dropped.
+KEPT_POSITIONS = 1 << 14
 #: str.split also splits at these four, which are not white space to the tokenizer.
 _ODD = re.compile("[\x1c-\x1f]")
 _WHITE = re.compile("[\t-\r \x85\xa0  -     　]+")
@@ -56,37 +58,47 @@ class WordCounts(dict):
             self.automaton.add_word(piece, (len(piece), score))
         self.automaton.make_automaton()
         self.unknown = min((s for _, s in pieces[1:]), default=0.0) - UNKNOWN_PENALTY
+        self.longest = max((len(p) for p, _ in pieces[1:]), default=1)
 
     def __missing__(self, word: str) -> int:
         if len(self) >= KEPT_WORDS:
             self.clear()
         marked = word if word[0] == MARK else MARK + word
-        count = sum(map(self.pieces_of, re.findall(f"{MARK}[^{MARK}]*", marked)))
+        count = sum(self.pieces_of(m[0]) for m in re.finditer(f"{MARK}[^{MARK}]*", marked))
         if len(word) <= 40:
             self[word] = count
         return count
 
     def pieces_of(self, text: str) -> int:
         """Pieces of the best path; matches come by end, and for one end the longest first,
-        which is the order of their starts: the first of the best scores is the tokenizer's."""
-        n = len(text)
-        best = [0.0] * (n + 1)
-        count = [0] * (n + 1)
-        fused = [False] * (n + 1)
-        by_end: list[list[tuple[int, float]]] = [[] for _ in range(n)]
-        for end, match in self.automaton.iter(text):
-            by_end[end].append(match)
-        for end in range(n):
+        which is the order of their starts: the first of the best scores is the tokenizer's.
+
+        Matches are read as they come and only the last positions, those a piece can start at, are kept."""
+        best, count, fused, gone = [0.0], [0], [False], 0
+        matches = self.automaton.iter(text)
+        at, match = next(matches, (-1, None))
+        for end in range(len(text)):
+            ending = []
+            while at == end:
+                ending.append(match)
+                at, match = next(matches, (-1, None))
+            here = end - gone
             score, pieces, unknown, single = -math.inf, 0, False, False
-            for length, value in sorted(by_end[end], reverse=True):
-                start = end + 1 - length
+            for length, value in sorted(ending, reverse=True):
+                start = here + 1 - length
                 single |= length == 1
                 if best[start] + value > score:
                     score, pieces, unknown = best[start] + value, count[start] + 1, False
-            if not single and best[end] + self.unknown > score:
-                score, pieces, unknown = best[end] + self.unknown, count[end] + (not fused[end]), True
-            best[end + 1], count[end + 1], fused[end + 1] = score, pieces, unknown
-        return count[n]
+            if not single and best[here] + self.unknown > score:
+                score, pieces, unknown = best[here] + self.unknown, count[here] + (not fused[here]), True
+            best.append(score)
+            count.append(pieces)
+            fused.append(unknown)
+            if here >= KEPT_POSITIONS + self.longest:
+                for kept in (best, count, fused):
+                    del kept[: -self.longest]
+                gone = end + 2 - self.longest
+        return count[-1]
 
 
 def word_counts(path: str) -> WordCounts:
@@ -109,7 +121,8 @@ def count_tokens(
 
     Texts are split at Unicode white space and every word is marked and segmented on its own.
     Null and empty texts have no words and no tokens. Repeated rows and null ids stay as they are;
-    other columns are ignored; no rows give no rows. A word of any length is segmented whole.
+    other columns are ignored; no rows give no rows. A word of any length is segmented whole, in memory that
+    does not grow with it but for the word itself.
     """
     path = pieces or default_pieces()
     kind = docs.schema[id_col].dataType.simpleString()

@@ -252,6 +252,22 @@ def test_token_counts_equal_the_tokenizer(docs, by_id):
         assert counts[word] == count(word), word
 
 
+def test_a_long_word_is_counted_in_little_memory(monkeypatch):
+    import tracemalloc
+
+    counts = token_counts.WordCounts(token_counts.unigram_pieces(token_counts.default_pieces()))
+    rng = random.Random(8)
+    word = "".join(rng.choice("abetré漢😀") for _ in range(150_000))
+    tracemalloc.start()
+    few = counts.pieces_of(word)
+    assert tracemalloc.get_traced_memory()[1] < 8 << 20
+    tracemalloc.stop()
+    monkeypatch.setattr(token_counts, "KEPT_POSITIONS", 10**9)
+    assert counts.pieces_of(word) == few
+    monkeypatch.setattr(token_counts, "KEPT_POSITIONS", 1)
+    assert counts.pieces_of(word) == few
+
+
 def test_packing_is_whole_and_gapless(docs, by_id):
     from tokenizers import Tokenizer
     import public_tokenizers
@@ -542,6 +558,69 @@ def test_empty_tables(empty):
     assert quality.quality_scores(empty, empty.selectExpr("doc_id", "n AS quality")).count() == 0
 
 
+def test_near_duplicates_of_other_ids(spark, docs, by_id):
+    named = docs.selectExpr("CASE WHEN doc_id % 5 <> 0 THEN concat('d', doc_id) END AS name", "text", "doc_id AS number")
+    found = near_duplicates.near_duplicates(named, "name")
+    plain = near_duplicates.near_duplicates(docs.selectExpr("CASE WHEN doc_id % 5 <> 0 THEN doc_id END AS doc_id", "text"))
+    groups = {}
+    for r in plain.collect():
+        groups.setdefault(r.component_id, set()).add(r.doc_id)
+    smallest = {f"d{i}": min(f"d{j}" for j in g) for c, g in groups.items() if c is not None for i in g}
+    rows = found.collect()
+    assert len(rows) == docs.count()
+    for r in rows:
+        assert r.component_id == smallest.get(r.name)
+        assert r.kept == (r.name is None or r.name == r.component_id)
+
+
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_pipeline_stages_decide_by_row_whatever_the_id(spark, kind):
+    """Null and repeated ids: every row is judged by its own text, and exact repeats stay once."""
+    sf = "/root/testdata/sf0.001"
+    docs = queries.table(spark, sf, "documents").where("length(text) > 300").orderBy("doc_id").limit(120)
+    ids = f"CAST(CASE WHEN doc_id % 3 = 0 THEN NULL WHEN doc_id % 3 = 1 THEN 7 ELSE doc_id END AS {kind}) AS doc_id"
+    names = [c for c in docs.columns if c != "doc_id"]
+    mixed = docs.selectExpr(ids, *names, "1 AS number", "2 AS place")
+    mixed = corpus_pipeline.staged(mixed.union(mixed.limit(9)), "mixed")
+
+    scores = {r.number: r.predicted for r in quality.quality_scores(
+        mixed.withColumn("number", F.sha2("text", 256)), queries.table(spark, sf, "labels"), carried=("number",)
+    ).collect()}
+    good = corpus_pipeline.reject_low_quality(spark, mixed, sf)
+    digests = lambda df: sorted(r[0] for r in df.select(F.sha2("text", 256)).collect())
+    assert good.columns == mixed.columns
+    assert digests(good) == [d for d in digests(mixed) if scores[d]]
+
+    kept = corpus_pipeline.drop_near_duplicates(spark, mixed, sf)
+    assert kept.columns == mixed.columns
+    texts = [r.text for r in kept.collect()]
+    sets = [shingle_set(t, 5) for t in texts]
+    for i, a in enumerate(sets):
+        assert all(5 * len(a & b) < 4 * len(a | b) for b in sets[:i])
+    for r in mixed.collect():
+        own = shingle_set(r.text, 5)
+        assert any(5 * len(own & b) >= 4 * len(own | b) for b in sets)
+
+    item = queries.table(spark, sf, "benchmark").orderBy("item_id").first().text
+    leak = mixed.limit(2).withColumn("text", F.concat("text", F.lit(" " + item)))
+    clean = corpus_pipeline.drop_contaminated(spark, kept.union(leak), sf)
+    assert not any(item in r.text for r in clean.collect())
+    assert set(digests(clean)) <= set(digests(kept))
+    free = [t for t in texts if not any(b.text in t for b in queries.table(spark, sf, "benchmark").collect())]
+    assert clean.count() >= len(free) - 2
+
+    masked = corpus_pipeline.mask_secrets(spark, clean, sf)
+    assert masked.columns == clean.columns and masked.count() == clean.count()
+    packed = corpus_pipeline.pack(spark, masked, sf)
+    assert packed.where("start = 0").count() == masked.count()
+
+
+def test_pipeline_of_an_empty_table(spark, empty):
+    sf = "/root/testdata/sf0.001"
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, sf).count() == 0
+
+
 def test_pipeline_on_the_smallest_tables(spark):
     sf = "/root/testdata/sf0.001"
     docs = queries.table(spark, sf, "documents")
