@@ -17,6 +17,7 @@ from clinchline.functions.columns import (
     rule_value,
     total_if,
 )
+from clinchline.functions.distinct import distinct_bitmaps, distinct_counts
 from clinchline.functions.ranking import Piece, first_per_key, rank_block, spread_row_number, spread_running_sum
 from clinchline.plans.stages import Stages
 
@@ -606,6 +607,19 @@ def _a2(t):
     return counted.where(C("parts") >= 2)
 
 
+@_entry(
+    "a2_count_distinct_merged",
+    """SELECT o_orderstatus, CAST(EXTRACT(YEAR FROM o_orderdate) AS INTEGER) AS order_year,
+         COUNT(DISTINCT o_custkey) AS customers FROM orders GROUP BY 1, 2""",
+)
+def _a2_merged(t):
+    # few keys over dense numbers: months are counted once, and merged to years
+    orders = t("orders").select("o_orderstatus", F.date_trunc("month", "o_orderdate").alias("month"), "o_custkey")
+    months = distinct_bitmaps(orders, ["o_orderstatus", "month"], "o_custkey")
+    years = months.withColumn("order_year", F.year("month")).drop("month")
+    return distinct_counts(years, ["o_orderstatus", "order_year"], "customers")
+
+
 @_entry(
     "a3_count_expression",
     """SELECT l_suppkey, COUNT(*) AS listed, COUNT(COALESCE(NULLIF(l_quantity, 1), NULLIF(l_discount, 0)))

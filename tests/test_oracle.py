@@ -25,6 +25,7 @@ SAMPLE = [
     "f12_round",
     "j4_full_chain",
     "a2_count_distinct",
+    "a2_count_distinct_merged",
     "w2_rank_by_total",
     "o4_unpivot",
 ]
