@@ -2,7 +2,7 @@
 
 A spot signature is a common word (the anchor) with the first content words after it, up to the
 next anchor. A document's fingerprint is the set of its spot signatures, so frames and lists that
-hold few common words hardly count. Sets are partitioned by their number of signatures and are
+hold few common words hardly count; only in long stretches without any, chains of all words are added. Sets are partitioned by their number of signatures and are
 compared by Jaccard likeness only where the sizes allow the wanted likeness.
 """
 
@@ -23,23 +23,44 @@ ANCHORS = (
 ).split()
 #: Content words of a signature.
 CHAIN = 2
+#: In a stretch of more words than this without an anchor all chains of words count.
+SPARSE = 12
 _MARK = "\x01"
 
 
-def signatures(text: Column, anchors: list[str] = ANCHORS, chain: int = CHAIN) -> Column:
+def any_of(words: list[str]) -> str:
+    """A regular expression for these words that reads each letter of a text once."""
+    tails: dict[str, list[str]] = {}
+    for word in sorted(set(words) - {""}):
+        tails.setdefault(word[0], []).append(word[1:])
+    branches = "|".join(letter + (any_of(rest) if rest != [""] else "") for letter, rest in tails.items())
+    return f"(?:{branches}){'?' if '' in words else ''}"
+
+
+def signatures(text: Column, anchors: list[str] = ANCHORS, chain: int = CHAIN, sparse: int = SPARSE) -> Column:
     """The ascending distinct 48-bit hashes of a text's spot signatures.
 
-    A text without any has one signature, of its words; so equal texts always have equal sets, and
-    texts without words (null and empty ones) share the set of the empty text.
+    A stretch, an anchor and the words up to the next one, of more than ``sparse`` words has those of all chains
+    of ``chain`` + 1 words in it; so has the stretch before the first anchor. A text without any signature has one, of
+    all its words. Equal texts always have equal sets; texts without words (null and empty ones) share the set of
+    the empty text. Anchors are words of small letters.
     """
     words = F.concat(F.lit(" "), F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " "), F.lit(" "))
-    marked = F.regexp_replace(words, f" (?=(?:{'|'.join(sorted(set(anchors)))}) )", " " + _MARK)
-    spots = F.transform(
-        F.filter(F.split(marked, _MARK), lambda s, i: (i > 0) & F.rtrim(s).contains(" ")),
-        lambda s: F.substring_index(F.rtrim(s), " ", chain + 1),
-    )
-    low = lambda s: F.xxhash64(s).bitwiseAND(F.lit((1 << 48) - 1))
-    hashes = F.transform(spots, low)
+    stretches = F.split(F.regexp_replace(words, f" (?={any_of(anchors)} )", " " + _MARK), _MARK)
+    none = F.array().cast("array<string>")
+
+    def chains(listed: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.size(listed) - chain)
+        return F.when(F.size(listed) > max(sparse, chain), F.transform(starts, lambda i: F.array_join(F.slice(listed, i, chain + 1), " ")))
+
+    def found(s: Column, i: Column) -> Column:
+        spot = F.when((i > 0) & s.contains(" "), F.array(F.substring_index(s, " ", chain + 1)))
+        # a stretch of few letters holds few words, and is not split
+        long = F.when(F.length(s) > 2 * sparse, chains(F.split(s, " ")))
+        return F.concat(F.coalesce(spot, none), F.coalesce(long, none))
+
+    low = lambda s: F.conv(F.substring(F.md5(s.cast("binary")), 1, 12), 16, 10).cast("long")
+    hashes = F.transform(F.flatten(F.transform(F.transform(stretches, lambda s: F.trim(s)), found)), low)
     return F.array_sort(F.array_distinct(F.when(F.size(hashes) > 0, hashes).otherwise(F.array(low(F.trim(words))))))
 
 
@@ -94,6 +115,8 @@ def fingerprint_changes(
     """
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     links = following(rows, "id", F.length("text"))
+    # made once a row, before the exchange that both joins read
+    rows = rows.withColumn("sigs", signatures(F.col("text")))
     least = Window.partitionBy("id").orderBy("text")
     # A left join here too, though every id has a link: both joins then read one exchange of texts.
     heads = (
@@ -103,7 +126,7 @@ def fingerprint_changes(
         .select(
             F.col("previous").alias("id"),
             F.expr(f"substring(text, 1, previous_length div {part})").alias("head"),
-            signatures(F.col("text")).alias("next_sigs"),
+            F.col("sigs").alias("next_sigs"),
         )
     )
     n, tail = F.length("text"), F.expr(f"length(text) div {part}")
@@ -116,7 +139,7 @@ def fingerprint_changes(
                 F.expr(f"substring(text, 1, length(text) - length(text) div {part})"),
                 F.coalesce(F.col("head").substr(F.lit(1), tail), F.lit("")),
             ).alias("edited"),
-            signatures(F.col("text")).alias("sigs"),
+            "sigs",
             "next_sigs",
         )
         .withColumn("edited_sigs", signatures(F.col("edited")))

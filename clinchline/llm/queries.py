@@ -223,6 +223,37 @@ SELECT doc_id, n AS n_shingles, coalesce(c, doc_id) AS component_id, doc_id = co
 FROM sizes LEFT JOIN low ON node = doc_id
 """
 
+_OP3 = rf"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+nexts AS (
+  SELECT doc_id, t, coalesce(lead(doc_id) OVER (ORDER BY doc_id), min(doc_id) OVER ()) AS next_id,
+    coalesce(lead(t) OVER (ORDER BY doc_id), first_value(t) OVER (ORDER BY doc_id)) AS u FROM docs),
+edits AS MATERIALIZED (
+  SELECT doc_id, next_id, t, substring(t, 1, length(t) - length(t) // 4) || substring(u, 1, length(t) // 4) AS e FROM nexts),
+pair AS (SELECT doc_id, false AS edited, t FROM edits UNION ALL SELECT doc_id, true, e FROM edits),
+listed AS MATERIALIZED (
+  SELECT doc_id, edited, string_split(trim(regexp_replace(lower(t), '[^\p{{L}}\p{{N}}]+', ' ', 'g')), ' ') AS l FROM pair),
+words AS (SELECT doc_id, edited, unnest(l) AS w, unnest(range(1, len(l) + 1)) AS i FROM listed),
+marked AS (SELECT *, w IN ({", ".join(repr(a) for a in sorted(set(fingerprints.ANCHORS)))}) AS anchor FROM words),
+parts AS (SELECT *, sum(CAST(anchor AS INT)) OVER (PARTITION BY doc_id, edited ORDER BY i) AS part FROM marked),
+chains AS (
+  SELECT doc_id, edited, anchor, w, lead(w) OVER near AS x, lead(w, 2) OVER near AS y, count(*) OVER (PARTITION BY doc_id, edited, part) AS n
+  FROM parts WINDOW near AS (PARTITION BY doc_id, edited, part ORDER BY i)),
+spots AS (
+  SELECT DISTINCT doc_id, edited, concat_ws(' ', w, x, y) AS s FROM chains
+  WHERE (anchor AND x IS NOT NULL) OR (n > {fingerprints.SPARSE} AND y IS NOT NULL)),
+sets AS (SELECT doc_id, edited, list_sort(list_distinct(list(substr(md5(s), 1, 12)))) AS k FROM spots GROUP BY ALL),
+prints AS MATERIALIZED (
+  SELECT listed.doc_id, listed.edited, coalesce(k, [substr(md5(array_to_string(l, ' ')), 1, 12)]) AS k
+  FROM listed LEFT JOIN sets ON sets.doc_id = listed.doc_id AND sets.edited = listed.edited)
+SELECT d.doc_id, CAST(length(t) AS BIGINT) AS n_chars, sha256(e) AS edited_sha256, array_to_string(a.k, '') AS fingerprint,
+  array_to_string(b.k, '') AS edited_fingerprint,
+  CAST(len(list_intersect(a.k, b.k)) AS DOUBLE) / len(list_distinct(a.k || b.k)) AS near_edited,
+  CAST(len(list_intersect(a.k, c.k)) AS DOUBLE) / len(list_distinct(a.k || c.k)) AS near_next
+FROM edits d JOIN prints a ON a.doc_id = d.doc_id AND NOT a.edited JOIN prints b ON b.doc_id = d.doc_id AND b.edited
+JOIN prints c ON c.doc_id = next_id AND NOT c.edited
+"""
+
 _OP4 = r"""
 WITH raw AS (SELECT page_id, encode(coalesce(html, '')) AS p FROM pages),
 digests AS (SELECT page_id, octet_length(p) AS n, sha1(p) AS h FROM raw),
@@ -286,6 +317,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_chat_formatting": _OP1,
         "op2_minhash_near_dedup": _OP2,
+        "op3_spotsigs": _OP3,
         "op4_warc_writer": _OP4,
         "op8_suffix_dedup": _OP8,
         "op11_fill_in_middle": _OP11,

@@ -429,9 +429,29 @@ def spots(text):
             chain.append(b)
         if a in fingerprints.ANCHORS and chain:
             out.add((a, *chain))
+    edges = sorted({0, len(w), *(i for i, a in enumerate(w) if a in fingerprints.ANCHORS)})
+    for first, end in zip(edges, edges[1:]):
+        if end - first > 12:
+            out |= {tuple(w[i : i + 3]) for i in range(first, end - 2)}
     return out or {tuple(w)}
 
 
+def test_anchors_as_one_expression():
+    for some in (fingerprints.ANCHORS, ["a"], ["an", "a", "and", "on"]):
+        one = re.compile(fingerprints.any_of(some))
+        tried = {w[:k] + tail for w in fingerprints.ANCHORS for k in range(len(w) + 1) for tail in ("", "n", "x")}
+        assert {w for w in tried if one.fullmatch(w)} == tried & set(some)
+
+
+def test_sparse_texts_are_alike_after_an_edit(spark):
+    rng = random.Random(9)
+    lists = [" | ".join(f"w{rng.randrange(10**6)}" for _ in range(60)) for _ in range(6)] + ["Ating. " * 90, "the cat sat " * 50]
+    lists += [" ".join(f"q{rng.randrange(10**6)}" for _ in range(100)) + " the end of it all"]
+    table = spark.createDataFrame(list(enumerate(lists)), "doc_id long, text string")
+    for r in fingerprints.fingerprint_changes(table).collect():
+        assert r.near_edited > (0.5 if r.doc_id < 5 else 0), r.doc_id
+
+
 def test_fingerprints(spark, docs, by_id):
     order = sorted(by_id)
     for r in fingerprints.fingerprint_changes(docs).collect():
