@@ -49,19 +49,21 @@ def signatures(text: Column, anchors: list[str] = ANCHORS, chain: int = CHAIN, s
     stretches = F.split(F.regexp_replace(words, f" (?={any_of(anchors)} )", " " + _MARK), _MARK)
     none = F.array().cast("array<string>")
 
-    def chains(listed: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.size(listed) - chain)
-        return F.when(F.size(listed) > max(sparse, chain), F.transform(starts, lambda i: F.array_join(F.slice(listed, i, chain + 1), " ")))
+    def chains(s: Column) -> Column:
+        return F.flatten(F.transform(F.array(F.split(s, " ")), lambda listed: F.transform(
+            F.sequence(F.lit(1), F.size(listed) - chain), lambda i: F.array_join(F.slice(listed, i, chain + 1), " ")
+        )))
 
     def found(s: Column, i: Column) -> Column:
-        spot = F.when((i > 0) & s.contains(" "), F.array(F.substring_index(s, " ", chain + 1)))
-        # a stretch of few letters holds few words, and is not split
-        long = F.when(F.length(s) > 2 * sparse, chains(F.split(s, " ")))
-        return F.concat(F.coalesce(spot, none), F.coalesce(long, none))
+        spot = F.substring_index(s, " ", chain + 1)
+        long = F.substring_index(s, " ", max(sparse, chain)) != s
+        return F.when(long, chains(s)).when((i > 0) & s.contains(" "), F.array(spot)).otherwise(F.array().cast("array<string>"))
 
     low = lambda s: F.conv(F.substring(F.md5(s.cast("binary")), 1, 12), 16, 10).cast("long")
-    hashes = F.transform(F.flatten(F.transform(F.transform(stretches, lambda s: F.trim(s)), found)), low)
-    return F.array_sort(F.array_distinct(F.when(F.size(hashes) > 0, hashes).otherwise(F.array(low(F.trim(words))))))
+    every = F.array_distinct(F.flatten(F.transform(F.transform(stretches, lambda s: F.trim(s)), found)))
+    # as the argument of a lambda the set is made once, though it is used twice
+    some = F.transform(F.array(every), lambda e: F.when(F.size(e) > 0, e).otherwise(F.array(F.trim(words))))[0]
+    return F.array_sort(F.array_distinct(F.transform(some, low)))
 
 
 def as_text(sigs: Column) -> Column:
