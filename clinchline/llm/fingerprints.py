@@ -71,6 +71,21 @@ def as_text(sigs: Column) -> Column:
     return F.array_join(F.transform(sigs, lambda s: F.lpad(F.lower(F.hex(s)), 12, "0")), "")
 
 
+def packed(sigs: Column) -> Column:
+    """Signatures in six bytes each, for a shuffle: their upper 32 and their lower 16 bits."""
+    return F.struct(
+        F.transform(sigs, lambda s: (F.shiftright(s, 16) - (1 << 31)).cast("int")).alias("high"),
+        F.transform(sigs, lambda s: (s.bitwiseAND(F.lit(0xFFFF)) - (1 << 15)).cast("smallint")).alias("low"),
+    )
+
+
+def unpacked(pack: Column) -> Column:
+    return F.zip_with(
+        pack["high"], pack["low"],
+        lambda h, x: (h.cast("long") + (1 << 31)) * (1 << 16) + x.cast("long") + (1 << 15),
+    )
+
+
 def pruned_jaccard(a: Column, b: Column, floor: float = 0.0) -> Column:
     """Likeness of two sets; 0 without comparing them if their sizes rule out ``floor``."""
     least, most = F.least(F.size(a), F.size(b)), F.greatest(F.size(a), F.size(b))
@@ -118,7 +133,7 @@ def fingerprint_changes(
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     links = following(rows, "id", F.length("text"))
     # made once a row, before the exchange that both joins read
-    rows = rows.withColumn("sigs", signatures(F.col("text")))
+    rows = rows.withColumn("sigs", signatures(F.col("text"))).withColumn("sigs", packed(F.col("sigs")))
     least = Window.partitionBy("id").orderBy("text")
     # A left join here too, though every id has a link: both joins then read one exchange of texts.
     heads = (
@@ -141,8 +156,8 @@ def fingerprint_changes(
                 F.expr(f"substring(text, 1, length(text) - length(text) div {part})"),
                 F.coalesce(F.col("head").substr(F.lit(1), tail), F.lit("")),
             ).alias("edited"),
-            "sigs",
-            "next_sigs",
+            unpacked(F.col("sigs")).alias("sigs"),
+            unpacked(F.col("next_sigs")).alias("next_sigs"),
         )
         .withColumn("edited_sigs", signatures(F.col("edited")))
         .select(
