@@ -14,6 +14,8 @@ REPORT_FILE_ROWS = 1_000_000
 REPORT_GROUP_BYTES = 16 << 20
 # columns by which pages look up their rows
 PAGE_KEYS = ["team_key", "event_key"]
+# sizes tried for a bloom filter, each half of the one before: 1 MB (Parquet's most) down to 64 bytes
+BLOOM_SIZES = 15
 
 # sort order of each report
 REPORT_ORDER = {
@@ -77,7 +79,8 @@ def write_reports(reports: Mapping[str, DataFrame], folder: str, fmt: Format) ->
 
     Range partitions follow the display order, so a large district becomes several sorted
     files instead of one task. Small row groups with bloom filters of the page keys let a page read
-    one row group of a large report.
+    one row group of a large report. A filter is as large as its row group needs: one of full size in
+    each file would make many small districts many megabytes.
     """
     for name, report in reports.items():
         order = REPORT_ORDER.get(name, [])
@@ -91,8 +94,11 @@ def write_reports(reports: Mapping[str, DataFrame], folder: str, fmt: Format) ->
             .option("partitionOverwriteMode", "dynamic")
             .option("maxRecordsPerFile", REPORT_FILE_ROWS)
             .option("parquet.block.size", REPORT_GROUP_BYTES)
+            .option("parquet.bloom.filter.adaptive.enabled", "true")
         )
         for key in PAGE_KEYS:
             if key in report.columns:  # rows of a page are found where the order does not lead to them
-                writer = writer.option(f"parquet.bloom.filter.enabled#{key}", "true")
+                writer = writer.option(f"parquet.bloom.filter.enabled#{key}", "true").option(
+                    f"parquet.bloom.filter.candidates.number#{key}", BLOOM_SIZES
+                )
         writer.parquet(f"{folder}/{name}")

@@ -402,3 +402,20 @@ def test_a_page_reads_one_row_group_of_a_report(spark, tmp_path, monkeypatch):
     assert sum(low <= wanted <= high for low, high in groups) == 1
     row = spark.read.parquet(f"{tmp_path}/team_pages").where(F.col("team_key") == wanted).collect()
     assert [r.team_key for r in row] == [wanted]
+
+
+def test_reports_of_many_small_districts_stay_small(spark, tmp_path):
+    import glob
+    import os
+
+    import pyarrow.parquet as pq
+
+    teams = spark.range(2400).select(
+        F.concat(F.lit("2026d"), (F.col("id") % 40).cast("string")).alias("district_key"),
+        F.concat(F.lit("frc"), F.col("id").cast("string")).alias("team_key"),
+        F.col("id").cast("int").alias("rank"),
+    )
+    tables.write_reports({"rankings": teams}, str(tmp_path), FORMATS["district"])
+    files = glob.glob(f"{tmp_path}/rankings/*/*.parquet")
+    assert len(files) >= 40 and sum(map(os.path.getsize, files)) < 40 * 4096  # a full filter takes 1 MB a file
+    assert sum(pq.ParquetFile(f).metadata.num_rows for f in files) == 2400
