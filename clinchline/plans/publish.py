@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from clinchline.operators import quality
 from clinchline.plans.formats import Format
 from clinchline.plans.season import SeasonRun
-from clinchline.plans.stages import TOGETHER, Stages, run_together
+from clinchline.plans.stages import TOGETHER, Stages, planned_by_rows, run_together
 from clinchline.sources.inputs import SeasonInputs
 from clinchline.sources.landed import short_sides
 from clinchline.sources.tables import DIVISION_EVENT_ORDER, REPORT_ORDER, with_home
@@ -106,6 +106,11 @@ def publish_season(spark: SparkSession, inputs: SeasonInputs, fmt: Format, folde
     and tables below ``<folder>/_stages``; the next call with the same inputs goes on from them. Districts
     that vanished from the inputs are published as empty. Keys must not be null.
     """
+    with planned_by_rows(spark):
+        return _publish(spark, inputs, fmt, folder, together)
+
+
+def _publish(spark: SparkSession, inputs: SeasonInputs, fmt: Format, folder: str, together: int) -> int:
     store = published_tables(spark, folder, fmt, inputs.events)
     now = district_fingerprints(inputs, fmt)
     if store.version():

@@ -199,3 +199,26 @@ def test_steps_run_after_what_they_need_and_together():
         run_together({"a": (), "b": ("a",)}, lambda name: {}[name], ["b"])
     with pytest.raises(ValueError, match="need each other"):
         run_together({"a": ("b",), "b": ("a",)}, print, ["a"])
+
+
+def test_published_runs_do_not_broadcast_files_that_hold_many_rows(spark, tmp_path, monkeypatch):
+    from clinchline.plans import publish
+
+    factor, threshold = "spark.sql.sources.fileCompressionFactor", "spark.sql.autoBroadcastJoinThreshold"
+    # 300,000 rows: 4.8 MB in memory, a tenth of it as a file
+    spark.range(300_000).select((F.col("id") % 1000).alias("k")).coalesce(1).write.parquet(f"{tmp_path}/rows")
+    before = spark.conf.get(threshold)
+
+    def planned(*_):
+        rows = spark.read.parquet(f"{tmp_path}/rows")
+        other = spark.read.parquet(f"{tmp_path}/rows").groupBy("k").count()
+        return rows.join(other, "k")._jdf.queryExecution().sparkPlan().toString()
+
+    monkeypatch.setattr(publish, "_publish", planned, raising=False)
+    try:
+        spark.conf.set(threshold, "1MB")
+        assert "BroadcastHashJoin" in planned()
+        assert "BroadcastHashJoin" not in publish.publish_season(spark, None, None, str(tmp_path))
+        assert spark.conf.get(factor) == "1.0"
+    finally:
+        spark.conf.set(threshold, before)
