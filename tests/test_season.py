@@ -222,3 +222,18 @@ def test_published_runs_do_not_broadcast_files_that_hold_many_rows(spark, tmp_pa
         assert spark.conf.get(factor) == "1.0"
     finally:
         spark.conf.set(threshold, before)
+
+
+def test_lines_are_dealt_by_supplier(spark):
+    from checks import adaptor
+
+    conf = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(conf, "false")
+    try:
+        lines = adaptor.read(spark, "/root/testdata/sf0.01", "lineitem").repartition(4)
+        dealt = adaptor.dealt_lines(lines)
+        placed = dealt.withColumn("p", F.spark_partition_id()).select("l_suppkey", "p").distinct().collect()
+        assert len({r.p for r in placed}) > 1 and len(placed) == lines.select("l_suppkey").distinct().count()
+        assert dealt.count() == lines.count() and dealt.exceptAll(lines.select(*dealt.columns)).isEmpty()
+    finally:
+        spark.conf.unset(conf)
