@@ -8,10 +8,12 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: Texts are worked on in blocks of about so many bytes, which bounds a Python worker's memory.
 BLOCK_BYTES = 1 << 20
+#: A list of ids up to this long (8 MB) is sent to all executors; a longer one is joined.
+BROADCAST_IDS = 1_000_000
 #: A block is hashed in 64-bit arithmetic modulo 2**64 with this odd multiplier.
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
@@ -42,6 +44,15 @@ def staged(df: DataFrame, what: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def sent(ids: DataFrame) -> DataFrame:
+    """Different ids, to join texts with: as a broadcast while they are few, so that the texts stay where they are.
+
+    Spark weighs a list by its estimated bytes alone and would rather shuffle all texts than send 30,000 ids.
+    ``ids`` is read twice: stage it first when it is costly.
+    """
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

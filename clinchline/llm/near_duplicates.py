@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from clinchline.llm.common import Words, batch_of, mix, shingles, staged, text_blocks
+from clinchline.llm.common import Words, batch_of, mix, sent, shingles, staged, text_blocks
 from clinchline.llm.components import connected_components
 
 #: Hashes of a band; the number of bands follows from the threshold and ``miss``.
@@ -32,8 +32,6 @@ BAND_ROWS = 5
 COMPARED = 20
 #: Members of a bucket that meet inside one task.
 BLOCK = 1024
-#: A list of ids up to this long (8 MB) is sent to all executors; a longer one is joined.
-BROADCAST_IDS = 1_000_000
 
 
 def bands_for(threshold: float, miss: float) -> int:
@@ -342,10 +340,7 @@ def near_duplicates(
     )
 
     def texts_of(ids: DataFrame) -> DataFrame:
-        ids = ids.distinct()
-        if ids.count() <= BROADCAST_IDS:
-            ids = F.broadcast(ids)
-        return source.join(ids, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
+        return source.join(sent(ids.distinct()), "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
 
     side = lambda s: reps.select(F.col("id").alias(s), F.col("n").alias(f"n_{s}"), F.col("sig").alias(f"sig_{s}"))
     star = (

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from clinchline.llm import packing, quality, secrets
-from clinchline.llm.common import staged
+from clinchline.llm.common import sent, staged
 from clinchline.llm.decontamination import contaminated
 from clinchline.llm.near_duplicates import near_duplicates
 from clinchline.llm.queries import benchmark_items, table
@@ -48,7 +48,7 @@ def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     rows, number = numbered(docs)
     scores = quality.quality_scores(rows, table(spark, sf_dir, "labels"), carried=(number,))
     rejected = staged(scores.where("predicted = 0").select(number).distinct(), "rejected")
-    return rows.join(rejected, number, "left_anti").select(docs.columns)
+    return rows.join(sent(rejected), number, "left_anti").select(docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,7 +60,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     rows, number = numbered(docs)
     groups = staged(near_duplicates(rows, number), "groups")
     dropped = groups.where("not kept").select(number).distinct()
-    kept = rows.join(dropped, number, "left_anti")
+    kept = rows.join(sent(dropped), number, "left_anti")
     if groups.groupBy(number).count().where("count > 1").isEmpty():
         return kept.select(docs.columns)
     place = free_name(rows, "place")
@@ -74,7 +74,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     rows, number = numbered(docs)
     found = contaminated(rows, benchmark_items(spark, sf_dir), number)
     leaks = staged(found.select(number).distinct(), "leaks")
-    return rows.join(leaks, number, "left_anti").select(docs.columns)
+    return rows.join(sent(leaks), number, "left_anti").select(docs.columns)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

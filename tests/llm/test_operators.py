@@ -667,3 +667,21 @@ def test_check_sql(spark, name):
 
     sf = "/root/testdata/sf0.001"
     assert differences(queries.queries()[name](spark, sf), connect(sf), queries.oracle_sql()[name]) == []
+
+
+def test_pipeline_stages_do_not_shuffle_texts_for_a_few_ids(spark, monkeypatch):
+    docs = corpus_pipeline.table(spark, "/root/testdata/sf0.001", "documents")
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    given = spark.conf.get(limit)
+    try:
+        spark.conf.set(limit, "1")  # as if the list of ids were over the cluster's limit
+        for stage in (corpus_pipeline.reject_low_quality, corpus_pipeline.drop_near_duplicates):
+            kept = stage(spark, docs, "/root/testdata/sf0.001")
+            plan = kept._jdf.queryExecution().executedPlan().toString()
+            assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan, plan
+        few = sorted(tuple(r) for r in kept.collect())
+        monkeypatch.setattr("clinchline.llm.common.BROADCAST_IDS", 0)
+        many = corpus_pipeline.drop_near_duplicates(spark, docs, "/root/testdata/sf0.001")
+        assert few == sorted(tuple(r) for r in many.collect()) and len(few) < docs.count()
+    finally:
+        spark.conf.set(limit, given)
