@@ -1,4 +1,4 @@
-from clinchline.operators import phases
+from clinchline.operators import phases, qualifiers
 from clinchline.plans.formats import FORMATS
 
 from tests.conftest import as_dict
@@ -189,3 +189,29 @@ def test_division_losses_count_by_level_and_at_the_finals(world):
         phases.division_team_states(inputs, fmt, states, finals), "team_key", "elim_eligible"
     )
     assert {t for t, playing in result.items() if not playing} == set("defghi")
+
+
+def test_alliances_are_chosen_before_their_members_are_listed(spark):
+    from checks import domain
+
+    def below(lines, i):
+        depth = len(lines[i]) - len(lines[i].lstrip(" :+-"))
+        for line in lines[i + 1 :]:
+            if len(line) - len(line.lstrip(" :+-")) <= depth:
+                return
+            yield line
+
+    for mode in ("dcmp_regions", "dcmp_divisions"):
+        run = domain.open_run(spark, "/root/testdata/sf0.001", mode)
+        for table in ("team_event_states", "qualifying_award_winners"):
+            run.prepare(table)
+            made = (
+                run.team_event_states
+                if table == "team_event_states"
+                else qualifiers.qualifying_award_winners(
+                    run.inputs, run.fmt, None if run.fmt.divisions else run.event_states
+                )
+            )
+            lines = made._jdf.queryExecution().optimizedPlan().toString().splitlines()
+            listed = [i for i, line in enumerate(lines) if "Generate explode" in line]
+            assert listed and all(any("Join" in line for line in below(lines, i)) for i in listed)
