@@ -237,3 +237,55 @@ def test_lines_are_dealt_by_supplier(spark):
         assert dealt.count() == lines.count() and dealt.exceptAll(lines.select(*dealt.columns)).isEmpty()
     finally:
         spark.conf.unset(conf)
+
+
+def test_dealt_stages_are_grouped_and_joined_without_moving_rows(spark, tmp_path):
+    stages = Stages(spark)
+    stages.folder = str(tmp_path / "stages")
+    rows_of = spark.range(1000).select((F.col("id") % 50).cast("string").alias("k"), "id")
+    kept = stages.keep_dealt(stages.deal(rows_of, "k"), "k", ["id"])
+    other = stages.keep_dealt(stages.deal(rows_of.select("k").distinct(), "k"), "k")
+    counts = kept.groupBy("k").agg(F.count("id").alias("n"))
+    joined = other.hint("merge").join(counts, "k")
+    assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+    assert {r.n for r in joined.collect()} == {20} and joined.count() == 50
+    assert len(kept.inputFiles()) <= stages.deals()
+    stages.release()
+    assert not (tmp_path / "stages").exists()
+
+
+@pytest.mark.parametrize("mode", ["dcmp", "dcmp_divisions"])
+def test_tables_of_events_are_made_where_their_lines_are(spark, tmp_path, mode):
+    from checks import adaptor
+
+    stages = Stages(spark)
+    stages.folder = str(tmp_path / "stages")
+    inputs = adaptor.season_inputs(spark, "/root/testdata/sf0.001", mode, stages)
+    for table in (inputs.event_points, inputs.matches, inputs.event_teams, inputs.awards, inputs.alliances):
+        assert len({r[0] for r in table.groupBy("event_key").count().select("event_key").collect()}) > 1
+        grouped = table.groupBy("event_key").count()
+        assert "Exchange" not in grouped._jdf.queryExecution().executedPlan().toString()
+    plain = adaptor.season_inputs(spark, "/root/testdata/sf0.001", mode, Stages(spark))
+    assert rows(inputs.event_points) == rows(plain.event_points)
+    stages.release()
+
+
+def test_narrow_lines_keep_all_remainders_of_any_key(spark):
+    from checks import adaptor
+
+    made = spark.range(-5000, 5000).select(
+        (F.col("id") * 7).alias("l_suppkey"),
+        F.when(F.col("id") != 3, F.col("id") * 31 + 5).alias("l_orderkey"),
+        F.when(F.col("id") != 4, F.col("id") * 17 - 2).alias("l_partkey"),
+        F.lit(1).alias("l_linenumber"),
+        F.lit(7.9).alias("l_quantity"),
+        F.lit("1995-12-31 23:59:59").cast("timestamp").alias("l_shipdate"),
+    )
+
+    def read(df):
+        parts = [F.col("l_partkey") % m for m in (adaptor.TEAMS, 20, 13, 8)]
+        orders = [F.col("l_orderkey") % m for m in (13, 3)]
+        day, qty = F.col("l_shipdate").cast("date"), F.col("l_quantity").cast("int")
+        return df.select("l_suppkey", *parts, *orders, day, F.year("l_shipdate"), qty)
+
+    assert read(made).exceptAll(read(adaptor.narrow_lines(made))).isEmpty()
