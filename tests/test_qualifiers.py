@@ -1,3 +1,5 @@
+import pytest
+
 from clinchline.operators import phases, qualifiers
 from clinchline.plans.formats import FORMATS
 
@@ -119,3 +121,26 @@ def test_second_look_counts_members_that_are_locked(world, spark):
     for mode in ("dcmp", "dcmp_regions"):
         second = qualifiers.guaranteed_spots(inputs, FORMATS[mode], spots, team_states, states, status)
         assert as_dict(second, "district_key", "wcmp_spots") == {"2026aa": 8, "2026bb": 3}
+
+
+@pytest.mark.parametrize("mode", ["dcmp_regions", "dcmp_divisions"])
+def test_members_are_listed_only_at_running_events(spark, mode):
+    from checks import domain
+
+    run = domain.open_run(spark, "/root/testdata/sf0.001", mode)
+    run.prepare("wcmp_spots_v2")
+    made = qualifiers.guaranteed_spots(
+        run.inputs,
+        run.fmt,
+        run.wcmp_spots,
+        run.team_event_states.limit(0),
+        run._deciding_states,
+        run.lock_status,
+    )
+    lines = made._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    depths = [len(line) - len(line.lstrip(" :+-")) for line in lines]
+    listed = [i for i, line in enumerate(lines) if "Generate explode" in line]
+    assert listed
+    for i in listed:
+        end = next((j for j in range(i + 1, len(lines)) if depths[j] <= depths[i]), len(lines))
+        assert any("Join" in line for line in lines[i + 1 : end])

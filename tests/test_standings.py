@@ -101,3 +101,18 @@ def test_semis_remain_only_with_four_divisions(world, spark):
         run.adjusted_district_rankings, ["district_key", "team_key"], standings.SEMIS
     )
     assert chances[("2026aa", "t0")] == 1 and chances[("2026bb", "t0")] == 0
+
+
+def test_scores_carry_the_number_of_their_event_in_the_district(world):
+    for key, day, points in (("e3", 9, 9), ("e1", 1, 1), ("e2b", 5, 6), ("e2a", 5, 5)):
+        world.event(key, day=day)
+        world.points(key, "t", qual=points)
+    world.event("other", "2026bb", day=0)
+    world.points("other", "t", qual=7)
+    counted = standings.counted_scores(world.inputs(), FORMATS["dcmp"])
+    assert set(counted.columns) == {"district_key", "team_key", "event_order", "points"}
+    assert {(r.district_key, r.event_order, r.points) for r in counted.collect()} == {
+        ("2026aa", 1, 1),
+        ("2026aa", 2, 5),
+        ("2026bb", 1, 7),
+    }
