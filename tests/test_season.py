@@ -7,7 +7,7 @@ from checks.domain import open_inputs
 from clinchline import run_season
 from clinchline.plans.formats import FORMATS, format_for
 from clinchline.plans.season import SeasonRun
-from clinchline.plans.stages import Stages
+from clinchline.plans.stages import Stages, joined_where_kept
 
 SMALL = "/root/testdata/sf0.001"
 FACTS = ["matches", "alliances", "awards", "event_points", "event_teams"]
@@ -254,6 +254,45 @@ def test_dealt_stages_are_grouped_and_joined_without_moving_rows(spark, tmp_path
     assert not (tmp_path / "stages").exists()
 
 
+def test_dealt_tables_are_joined_by_event_and_team_where_they_are(spark, tmp_path):
+    setting = "spark.sql.requireAllClusterKeysForCoPartition"
+    given = spark.conf.get(setting)
+    stages = Stages(spark)
+    stages.folder = str(tmp_path / "stages")
+    entries = spark.range(1000).selectExpr("CAST(id % 50 AS STRING) AS event_key", "CAST(id AS STRING) AS team_key")
+    kept = stages.keep_dealt(stages.deal(entries, "event_key"), "event_key")
+    other = stages.keep_dealt(stages.deal(entries.where("team_key < '5'"), "event_key"), "event_key")
+
+    def joined():
+        both = kept.join(other.hint("merge"), ["event_key", "team_key"])
+        return "Exchange" in both._jdf.queryExecution().executedPlan().toString(), both.count()
+
+    moved, found = joined()
+    assert moved
+    with joined_where_kept(spark):
+        with joined_where_kept(spark):
+            assert joined() == (False, found)
+        assert joined() == (False, found)
+    assert spark.conf.get(setting) == given and joined() == (True, found)
+    stages.release()
+
+
+def test_totals_of_dealt_tables_equal_those_of_others(spark, tmp_path):
+    from checks import adaptor
+
+    stages = Stages(spark)
+    stages.folder = str(tmp_path / "stages")
+    kept = adaptor.season_inputs(spark, SMALL, "dcmp_divisions", stages)
+    plain = inputs_of(spark, "dcmp_divisions")
+    assert kept.dealt
+    fmt = FORMATS["dcmp_divisions"]
+    run = SeasonRun(spark, kept, fmt, stages)
+    assert rows(run.ready("adjusted_district_rankings")) == rows(
+        SeasonRun(spark, plain, fmt, Stages(spark)).ready("adjusted_district_rankings")
+    )
+    stages.release()
+
+
 @pytest.mark.parametrize("mode", ["dcmp", "dcmp_divisions"])
 def test_tables_of_events_are_made_where_their_lines_are(spark, tmp_path, mode):
     from checks import adaptor
