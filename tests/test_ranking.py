@@ -36,6 +36,19 @@ def test_rank_windows_never_span_a_whole_group(spark):
     assert numbering and all("_piece_1" in line for line in numbering)
 
 
+def test_only_large_groups_are_cut_into_pieces(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "BLOCK_ROWS", 8)
+    df = spark.range(60).selectExpr("IF(id < 20, 'hot', 'g' || id % 6) AS g", "id AS official", "id % 4 AS score")
+    marked = ranking.with_large(df, ["g"])
+    assert {(r.g, r._large) for r in marked.where("_large").collect()} == {("hot", True)}
+    assert marked.count() == 60
+    spread = spread_row_number(
+        marked, ["g"], [Piece(F.col("score")), Piece(rank_block("official"))], [F.col("official")], "place"
+    )
+    plain = F.row_number().over(Window.partitionBy("g").orderBy("score", "official"))
+    assert sorted(map(tuple, spread.collect())) == sorted(map(tuple, df.withColumn("place", plain).collect()))
+
+
 def test_first_per_key_limits_before_the_shuffle(spark):
     df = spark.range(50).selectExpr("id % 3 AS k", "id AS v")
     first = first_per_key(df, ["k"], [F.col("v").asc()], 2)
