@@ -273,7 +273,7 @@ for _mode in ALL:
         "r13_team_pages",
         _mode,
         lambda run: reports.team_pages(
-            reports.team_header(run.published_status, run.fmt), run.fmt
+            reports.team_header(run.ready_status(), run.fmt), run.fmt
         ).select(*run.fmt.team, "lock_status"),
         f"SELECT {_columns}, lock_status FROM {_status} WHERE {_OPEN}",
     )
@@ -283,7 +283,7 @@ for _mode in ALL:
         lambda run: reports.page_index(
             run.inputs,
             run.fmt,
-            reports.team_header(run.published_status, run.fmt),
+            reports.team_header(run.ready_status(), run.fmt),
             run.event_regions,
         ),
         _pages_sql(_mode),

@@ -7,7 +7,7 @@ from checks.domain import open_inputs
 from clinchline import run_season
 from clinchline.plans.formats import FORMATS, format_for
 from clinchline.plans.season import SeasonRun
-from clinchline.plans.stages import Stages, joined_where_kept
+from clinchline.plans.stages import Stages, joined_where_kept, planned_by_rows
 
 SMALL = "/root/testdata/sf0.001"
 FACTS = ["matches", "alliances", "awards", "event_points", "event_teams"]
@@ -224,6 +224,37 @@ def test_published_runs_do_not_broadcast_files_that_hold_many_rows(spark, tmp_pa
         spark.conf.set(threshold, before)
 
 
+def test_ready_results_are_planned_by_rows(spark, tmp_path, monkeypatch):
+    factor, keep, seen = "spark.sql.sources.fileCompressionFactor", Stages.keep, {}
+
+    def kept(self, result, name=None):
+        seen[name] = spark.conf.get(factor)
+        return keep(self, result, name)
+
+    monkeypatch.setattr(Stages, "keep", kept)
+    stages = Stages(spark)
+    stages.folder = str(tmp_path / "stages")
+    run = SeasonRun(spark, inputs_of(spark, "dcmp"), FORMATS["dcmp"], stages)
+    followers = run.ready("following_teams")
+    assert {"event_states", "totals", "open_rankings", "following_teams"} <= set(seen)
+    assert set(seen.values()) == {"30.0"} and spark.conf.get(factor) == "1.0"
+    # nothing is left to plan for the action that reads it
+    assert "Join" not in followers._jdf.queryExecution().executedPlan().toString()
+    assert run.ready("following_teams") is followers and followers.count() > 0
+    stages.release()
+
+
+def test_settings_are_given_back_by_the_last_step(spark):
+    factor = "spark.sql.sources.fileCompressionFactor"
+    first, second = planned_by_rows(spark), planned_by_rows(spark)
+    first.__enter__()
+    second.__enter__()
+    first.__exit__(None, None, None)  # not the order of a stack: steps may run in threads
+    assert spark.conf.get(factor) == "30.0"
+    second.__exit__(None, None, None)
+    assert spark.conf.get(factor) == "1.0"
+
+
 def test_lines_are_dealt_by_supplier(spark):
     from checks import adaptor
 
