@@ -225,6 +225,7 @@ def test_published_runs_do_not_broadcast_files_that_hold_many_rows(spark, tmp_pa
 
 
 def test_ready_results_are_planned_by_rows(spark, tmp_path, monkeypatch):
+    inputs = inputs_of(spark, "dcmp")
     factor, keep, seen = "spark.sql.sources.fileCompressionFactor", Stages.keep, {}
 
     def kept(self, result, name=None):
@@ -234,12 +235,13 @@ def test_ready_results_are_planned_by_rows(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(Stages, "keep", kept)
     stages = Stages(spark)
     stages.folder = str(tmp_path / "stages")
-    run = SeasonRun(spark, inputs_of(spark, "dcmp"), FORMATS["dcmp"], stages)
+    run = SeasonRun(spark, inputs, FORMATS["dcmp"], stages)
     followers = run.ready("following_teams")
     assert {"event_states", "totals", "open_rankings", "following_teams"} <= set(seen)
     assert set(seen.values()) == {"30.0"} and spark.conf.get(factor) == "1.0"
-    # nothing is left to plan for the action that reads it
+    # nothing is left to plan for the action that reads it; the run's own result stays as it is built
     assert "Join" not in followers._jdf.queryExecution().executedPlan().toString()
+    assert "Join" in run.following_teams._jdf.queryExecution().executedPlan().toString()
     assert run.ready("following_teams") is followers and followers.count() > 0
     stages.release()
 
